@@ -56,10 +56,13 @@ def shuffle_into_shards(docs: DataFrame, *, key: str = "doc_id", shards: int = S
     # one partition holds one bucket, and shuffle() draws from seed and partition
     record = F.struct(*[F.col(f"`{c}`") for c in names], "size", "shard")
     order = F.struct(F.xxhash64(F.lit(seed + 2), F.col(key), F.col("text")).alias("draw"), record.alias("record"))
-    gathered = scattered.repartitionById(shards * per_shard, F.col("bucket")).groupBy("bucket").agg(F.collect_list(order).alias("records"))
+    # a bucket's first slot travels as one more row of it, so that no join moves the records again
+    rows = scattered.select("bucket", order.alias("entry"), F.lit(None).cast("long").alias("first"))
+    heads = starts.select("bucket", F.lit(None).cast(rows.schema["entry"].dataType).alias("entry"), "first")
+    gathered = rows.unionByName(heads).repartitionById(shards * per_shard, F.col("bucket")).groupBy("bucket").agg(F.collect_list("entry").alias("entries"), F.max("first").alias("first"))
     rank = lambda a, b: F.when(a.draw < b.draw, -1).when(a.draw > b.draw, 1).otherwise(0)
-    permuted = gathered.select("bucket", F.posexplode(F.shuffle(F.array_sort("records", rank), F.lit(seed))).alias("pos", "drawn"))
-    out = permuted.join(starts, "bucket").withColumn("slot", F.col("first") + F.col("pos"))
+    permuted = gathered.select("first", F.posexplode(F.shuffle(F.array_sort("entries", rank), F.lit(seed))).alias("pos", "drawn"))
+    out = permuted.withColumn("slot", F.col("first") + F.col("pos"))
     return out.select(*[F.col("drawn.record").getField(c).alias(c) for c in [*names, "size", "shard"]], "slot")
 
 
