@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from veilframe.llm import mixing, sharding
+from veilframe.llm import mixing, packing, sharding
 
 
 def queries() -> dict:
     return {
         "op5_mix_sources": mixing.op5_mix_sources,
         "op7_shuffle_shards": sharding.op7_shuffle_shards,
+        "op8_pack_windows": packing.op8_pack_windows,
     }
 
 
