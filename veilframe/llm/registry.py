@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from veilframe.llm import mixing, packing, sharding
+from veilframe.llm import mixing, packing, quality_model, sharding, toxicity
 
 
 def queries() -> dict:
     return {
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op7_shuffle_shards": sharding.op7_shuffle_shards,
         "op8_pack_windows": packing.op8_pack_windows,
+        "op10_quality": quality_model.op10_quality,
     }
 
 
