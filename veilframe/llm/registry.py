@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from veilframe.llm import mixing, packing, quality_model, sharding, toxicity
+from veilframe.llm import mixing, packing, quality_model, quality_rules, sharding, toxicity
 
 
 def queries() -> dict:
     return {
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op6_quality_rules": quality_rules.op6_quality_rules,
         "op7_shuffle_shards": sharding.op7_shuffle_shards,
         "op8_pack_windows": packing.op8_pack_windows,
         "op10_quality": quality_model.op10_quality,

@@ -84,7 +84,12 @@ class Words:
             cls._pow, cls._inv = _powers(BASE, 2 * len(data) + 1), _powers(pow(BASE, -1, 1 << 64), 2 * len(data) + 1)
         total = np.zeros(len(data) + 1, _U)
         np.cumsum((low.astype(_U) + _U(1)) * cls._pow[: len(data)], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * cls._inv[self.start])
+        self._total = total
+        self.hash = self.span_hash(self.start, self.end)
+
+    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of byte ranges of the texts."""
+        return mix((self._total[end] - self._total[start]) * self._inv[start])
 
     def ngrams(self, n: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all n-grams, and at as for words. short: a text with 1 to n - 1 words has all of them as one."""
