@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from veilframe.llm import mixing, packing, quality_model, quality_rules, secrets, sharding, toxicity
+from veilframe.llm import embedding_join, mixing, packing, quality_model, quality_rules, secrets, sharding, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_secret_scan": secrets.op1_secret_scan,
+        "op3_embedding_join": embedding_join.op3_embedding_join,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_quality_rules": quality_rules.op6_quality_rules,
