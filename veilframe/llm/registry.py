@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veilframe.llm import embedding_join, mixing, packing, quality_model, quality_rules, secrets, sharding, toxicity
+from veilframe.llm import embedding_join, mixing, packing, pseudonyms, quality_model, quality_rules, secrets, sharding, toxicity
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op6_quality_rules": quality_rules.op6_quality_rules,
         "op7_shuffle_shards": sharding.op7_shuffle_shards,
         "op8_pack_windows": packing.op8_pack_windows,
+        "op9_pseudonyms": pseudonyms.op9_pseudonyms,
         "op10_quality": quality_model.op10_quality,
     }
 
