@@ -1,7 +1,7 @@
 """Token ids of many texts, by a tokenizer whose pieces never cross white space.
 
-Each distinct word of a group of texts is tokenised once; texts are put together from their
-words' ids. Words are cut at ASCII white space only, which the tokenizer drops.
+Each distinct part of a word is tokenised once; texts are put together from their parts' ids. Words are cut at ASCII white space only, which the tokenizer drops. The tokenizer must
+close each part of a word with a token that ends in </w>.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from veilframe.llm.words import Texts, Words
 
 #: Words that are remembered; beyond, the memory is begun anew.
 REMEMBERED = 600_000
+#: Words that are given to the tokenizer at once.
+TOGETHER = 20_000
 
 
 class WordTokenizer:
@@ -19,8 +21,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = "<|startoftext|>"  # stands between words; words that hold it are encoded alone
-        self.mark_id = self.tokenizer.token_to_id(self.mark)
+        #: Whether a token ends a part of a word: the tokenizer cuts words where letters, single digits and other characters meet.
+        self.closing = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.closing[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.end_id = end_id
         self._forget()
 
@@ -31,34 +34,68 @@ class WordTokenizer:
         self.size = np.array([1], np.int64)
         self.ids = np.array([self.end_id], np.uint32)
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        whole = lambda w: np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
-        odd = {i for i, w in enumerate(words) if "<|" in w}
-        plain = [w for i, w in enumerate(words) if i not in odd]
-        out: list[np.ndarray] = []
-        for k in range(0, len(plain), 20_000):
-            ids = whole(self.mark.join(plain[k : k + 20_000]))
-            cuts = np.flatnonzero(ids == self.mark_id)
-            out += np.split(ids, cuts)[:1] + [x[1:] for x in np.split(ids, cuts)[1:]]
-        plain_ids = iter(out)
-        return [whole(w) if i in odd else next(plain_ids) for i, w in enumerate(words)]
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after another, and how many each has."""
+        ids = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+        return np.array([x for own in ids for x in own], np.uint32), np.array([len(x) for x in ids], np.int64)
 
-    def _learn(self, texts: Texts, words: Words, keys: np.ndarray, seen_at: np.ndarray) -> None:
-        data = texts.data.tobytes()
-        new = self._encode([data[words.start[i] : words.end[i]].decode("utf-8", "replace") for i in seen_at.tolist()])
-        size = np.array([len(x) for x in new], np.int64)
-        first = len(self.ids) + np.concatenate([[0], np.cumsum(size)[:-1]])
-        place = np.arange(len(new)) + len(self.size)
-        self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, *new])
-        keys, place = np.concatenate([self.keys, keys]), np.concatenate([self.place, place])
+    def _together(self, parts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts of plain words, in one call: each ends where a token closes it."""
+        spaced = np.full(len(parts.data) + len(parts), 32, np.uint8)
+        spaced[np.arange(len(parts.data)) + np.repeat(np.arange(len(parts)), np.diff(parts.offsets))] = parts.data
+        ids = np.array(self.tokenizer.encode(spaced.tobytes().decode(), add_special_tokens=False).ids, np.uint32)
+        return ids, np.diff(np.concatenate([[0], np.flatnonzero(self.closing[ids]) + 1]))
+
+    @staticmethod
+    def _split(texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of the parts of all words, and whether each is of a plain word. A word that is not is one part.
+
+        Plain words hold printable ASCII but the apostrophe, and letters from U+00C0 to U+00FF. The
+        tokenizer cuts those where letters, single digits and other characters meet.
+        """
+        data = texts.data
+        before = np.concatenate([np.zeros(1, np.uint8), data[:-1]])
+        letter = (data >= 128) & (data < 192) & (before == 0xC3) & (data != 0x97) & (data != 0xB7)
+        fine = ((data > 32) & (data < 127) & (data != 39) & ~((data == 124) & (before == 60))) | (data == 0xC3) | letter
+        odd = np.concatenate([[0], np.cumsum(~fine)])
+        plain = odd[words.start] == odd[words.end]
+        small = data | 32
+        kind = np.where((data >= 48) & (data <= 57), np.uint8(2), np.where((small >= 97) & (small <= 122) | (data >= 128), np.uint8(1), np.uint8(3)))
+        begins = np.ones(len(data), bool)
+        begins[1:] = (kind[1:] == 2) | (kind[1:] != kind[:-1])
+        inside = np.zeros(len(data) + 1, np.int8)  # words may touch only where a text ends
+        inside[words.start[plain]] += 1
+        inside[words.end[plain]] -= 1
+        begins &= np.cumsum(inside[:-1], dtype=np.int8) > 0
+        begins[words.start] = True
+        start = np.flatnonzero(begins)
+        of = np.searchsorted(words.start, start, "right") - 1
+        return start, np.minimum(np.concatenate([start[1:], [len(data)]]), words.end[of]) if len(start) else start, plain[of]
+
+    def _learn(self, texts: Texts, keys: np.ndarray, start: np.ndarray, end: np.ndarray, plain: np.ndarray) -> None:
+        data, parts = texts.data.tobytes(), []
+        parts.append(self._alone([data[a:b].decode("utf-8", "replace") for a, b in zip(start[~plain].tolist(), end[~plain].tolist(), strict=True)]))
+        start, end = start[plain], end[plain]
+        for k in range(0, len(start), TOGETHER):
+            a, b = start[k : k + TOGETHER], end[k : k + TOGETHER]
+            at = np.concatenate([[0], np.cumsum(b - a)])
+            parts.append(self._together(Texts(texts.data[np.repeat(a - at[:-1], b - a) + np.arange(at[-1])], at)))
+        size = np.concatenate([x[1] for x in parts])
+        place = np.arange(len(size)) + len(self.size)
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, *(x[0] for x in parts)])
+        keys = np.concatenate([keys[~plain], keys[plain]])
         order = np.argsort(keys)
-        self.keys, self.place = keys[order], place[order]
+        where = np.searchsorted(self.keys, keys[order])
+        self.keys, self.place = np.insert(self.keys, where, keys[order]), np.insert(self.place, where, place[order])
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id, and where each text's begin."""
         words = Words(texts)
-        keys, at, back = np.unique(words.hash, return_index=True, return_inverse=True)
+        start, end, plain = self._split(texts, words)
+        begin = np.searchsorted(start, texts.offsets)
+        keys, at, back = np.unique(words.span_hash(start, end), return_index=True, return_inverse=True)
         if len(self.keys) > REMEMBERED:
             self._forget()
         found = np.searchsorted(self.keys, keys)
@@ -66,12 +103,12 @@ class WordTokenizer:
         inside = found < len(self.keys)
         known[inside] = self.keys[found[inside]] == keys[inside]
         if not known.all():
-            self._learn(texts, words, keys[~known], at[~known])
+            new = at[~known]
+            self._learn(texts, keys[~known], start[new], end[new], plain[new])
             found = np.searchsorted(self.keys, keys)
-        place = self.place[found][back] if len(keys) else np.zeros(0, np.int64)
-        place = np.insert(place, words.at[1:], 0)
+        place = np.insert(self.place[found][back], begin[1:], 0)
         size = self.size[place]
         ends = np.cumsum(size)
         ids = self.ids[np.repeat(self.first[place] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        last = words.at[1:] + np.arange(len(texts))  # each text's end mark
+        last = begin[1:] + np.arange(len(texts))  # each text's end mark
         return ids, np.concatenate([[0], ends[last]])
