@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from veilframe.llm import embedding_join, mixing, packing, pseudonyms, quality_model, quality_rules, secrets, sharding, toxicity
+from veilframe.llm import embedding_join, mixing, packing, pseudonyms, quality_model, quality_rules, secrets, sharding, shingle_join, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_secret_scan": secrets.op1_secret_scan,
+        "op2_shingle_join": shingle_join.op2_shingle_join,
         "op3_embedding_join": embedding_join.op3_embedding_join,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_mix_sources": mixing.op5_mix_sources,
