@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilframe.llm.shared import held_out
 from veilframe.llm.words import GROUP_BYTES, Texts, groups
@@ -59,13 +60,15 @@ def as_texts(texts: list[str]) -> Iterator[tuple[int, int, Texts]]:
     return groups(pa.array(texts, pa.large_string()))
 
 
-def score_documents(docs: DataFrame, score: Callable[[Texts], np.ndarray]) -> DataFrame:
-    """doc_id, held_out and score of every row; score is run over groups of whole texts on the executors."""
+def score_documents(docs: DataFrame, score: Callable[[Texts], np.ndarray], keep: str | None = None) -> DataFrame:
+    """doc_id, held_out and score of every row, and the column named keep; score is run over groups of whole texts on the executors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts = [score(texts) for _, _, texts in groups(b.column(2), GROUP_BYTES)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())], ["doc_id", "held_out", "score"])
+            scores = pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *b.columns[3:], scores], [*b.schema.names[:2], *b.schema.names[3:], "score"])
 
-    given = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return given.mapInArrow(run, f"doc_id {given.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double")
+    given = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text", *([keep] if keep else []))
+    schema = T.StructType([f for f in given.schema if f.name != "text"]).add("score", "double")
+    return given.mapInArrow(run, schema)

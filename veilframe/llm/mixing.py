@@ -130,7 +130,7 @@ def route(patterns: Sequence[tuple[tuple, int]], wanted: dict, repeats: int = RE
 
 def mix_sources(
     docs: DataFrame, *, members: str | None = None, weights: Sequence[int] = WEIGHTS, share: Fraction = SHARE,
-    repeats: int = REPEATS, seed: int = 17,
+    repeats: int = REPEATS, seed: int = 17, keep: str | None = None,
 ) -> DataFrame:
     """Choose documents so that each source's words meet its target.
 
@@ -139,13 +139,13 @@ def mix_sources(
     copies (0 to repeats), taken (copies * size) and allocation, the source each copy counts for.
     Null text has size 0 and is never taken; a null source is a source of its own, the last in
     order; a null or empty members array belongs to no source and is not taken. Repeated rows are
-    separate documents that share a place in the order. Other columns are not looked at. An empty
+    separate documents that share a place in the order. Of other columns only the one named keep is passed on. An empty
     table gives an empty result. mix_with_targets() adds the targets.
 
     At most MAX_PATTERNS distinct membership patterns may occur: that table is the only thing
     that reaches the driver, and more raise an error.
     """
-    return _mixed(docs, members, weights, share, repeats, seed)[0]
+    return _mixed(docs, members, weights, share, repeats, seed, keep)[0]
 
 
 def mix_with_targets(docs: DataFrame, **options) -> DataFrame:
@@ -159,11 +159,11 @@ def mix_with_targets(docs: DataFrame, **options) -> DataFrame:
     return own.join(F.broadcast(table.drop("unnamed")), own.source.eqNullSafe(table.source), "left").drop(table.source)
 
 
-def _mixed(docs, members, weights, share, repeats, seed):
+def _mixed(docs, members, weights, share, repeats, seed, keep=None):
     spark = docs.sparkSession
     of = F.array(F.col("source").cast("string")) if members is None else F.array_sort(F.array_distinct(F.coalesce(F.col(members), F.array().cast("array<string>"))))
     sized = materialise(
-        docs.select("doc_id", of.alias("members"), n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.length("text")).alias("place")), "sizes"
+        docs.select("doc_id", of.alias("members"), n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.length("text")).alias("place"), *([keep] if keep else [])), "sizes"
     )
     found = sized.groupBy("members").agg(F.sum("size").alias("words"), F.count("*").alias("docs")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
@@ -185,7 +185,7 @@ def _mixed(docs, members, weights, share, repeats, seed):
     schema = "pattern int, members array<string>, words long, cells int, routed long, parts array<struct<source:string,lo:long,hi:long>>"
     plan = F.broadcast(spark.createDataFrame(table, schema))  # at most MAX_PATTERNS rows
     line = sized.join(plan, "members").withColumn("cell", F.pmod(F.shiftrightunsigned("place", 3), F.col("cells").cast("long")))
-    starts = line.groupBy("pattern", "cell").agg(F.sum("size").alias("cell_words"))
+    starts = line.select("pattern", "cell", "size").groupBy("pattern", "cell").agg(F.sum("size").alias("cell_words"))
     starts = starts.select("pattern", "cell", (F.sum("cell_words").over(Window.partitionBy("pattern").orderBy("cell")) - F.col("cell_words")).alias("cell_start"))
     within = Window.partitionBy("pattern", "cell").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     line = line.join(starts, ["pattern", "cell"]).withColumn("at", F.col("cell_start") + F.sum("size").over(within) - F.col("size"))
@@ -194,7 +194,7 @@ def _mixed(docs, members, weights, share, repeats, seed):
     takes = lambda m: F.element_at(F.transform(F.filter("parts", lambda p: (m >= p.lo * 2) & (m < p.hi * 2)), lambda p: p.source), 1)
     counted = F.array(*[F.when((F.col("size") > 0) & (m < F.col("routed") * 2), F.struct(F.lit(r + 1).alias("copy"), takes(m).alias("source"))) for r, m in enumerate(middle)])
     out = line.withColumn("allocation", F.array_compact(counted)).withColumn("copies", F.size("allocation"))
-    return out.select("doc_id", "members", "size", "copies", (F.col("copies") * F.col("size")).alias("taken"), "allocation"), sizes, wanted
+    return out.select("doc_id", "members", "size", "copies", (F.col("copies") * F.col("size")).alias("taken"), "allocation", *([keep] if keep else [])), sizes, wanted
 
 
 def op5_mix_sources(spark, sf_dir):
