@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -17,27 +19,36 @@ from veilframe.llm.words import GROUP_BYTES, Texts, groups
 ROWS_PER_CLASS = 4_000
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, rows_per_class: int = ROWS_PER_CLASS, seed: int = 5) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Texts, 0/1 labels and weights of a seeded sample of the labelled rows outside the held-out fold.
+def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, fit: Callable[[list[str], np.ndarray, np.ndarray], Any], rows_per_class: int = ROWS_PER_CLASS, seed: int = 5) -> Any:
+    """What fit makes of the texts, 0/1 labels and weights of a seeded sample of the labelled rows outside the held-out fold.
 
-    The weights restore the classes' shares among all labelled rows. Null labels and null ids are
-    left out; of repeated label rows the largest label counts.
+    One executor fits, as the sample is bounded, and its result must be plain arrays, which are
+    pickled. The weights restore the classes' shares among all labelled rows. Null labels and null
+    ids are left out; of repeated label rows the largest label counts.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max(label).alias("label"))
+    known = known.groupBy("doc_id").agg(F.max(label).cast("long").alias("label"))
     counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     drawn = None
     for c in (0, 1):
         part = known.filter(F.col("label") == c).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(rows_per_class)
         drawn = part if drawn is None else drawn.unionByName(part)
     # at most 2 * rows_per_class ids
-    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id").toArrow()
-    order = np.argsort(np.array(found.column("doc_id").to_pylist(), dtype=np.int64), kind="stable")
-    text = found.column("text").to_pylist()
-    y = np.array(found.column("label").to_pylist(), dtype=np.int64)[order]
-    share = np.array([counts.get(c, 0) / max(1, (y == c).sum()) for c in (0, 1)])
-    weight = share[y] if len(y) else np.zeros(0)
-    return [text[i] for i in order], y, weight / max(weight.sum(), 1e-9) * len(y)
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "label")
+
+    def fitted(texts: list[str], y: np.ndarray) -> bytes:
+        share = np.array([counts.get(c, 0) / max(1, (y == c).sum()) for c in (0, 1)])
+        weight = share[y] if len(y) else np.zeros(0)
+        return pickle.dumps(fit(texts, y, weight / max(weight.sum(), 1e-9) * len(y)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        if rows:
+            rows.sort(key=lambda r: (r[0], r[1]))
+            yield pa.RecordBatch.from_arrays([pa.array([fitted([r[1] for r in rows], np.array([r[2] for r in rows], np.int64))], pa.binary())], ["model"])
+
+    made = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0].model if made else fitted([], np.zeros(0, np.int64)))
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:

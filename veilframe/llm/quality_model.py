@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.labelled import ROWS_PER_CLASS, as_texts, calibrate, labelled_texts, score_documents
+from veilframe.llm.labelled import ROWS_PER_CLASS, as_texts, calibrate, fit_on_sample, score_documents
 from veilframe.llm.shared import documents
 from veilframe.llm.words import Texts, Words
 
@@ -101,9 +101,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, rows_per_class: int = R
     texts score by the bias alone; repeated rows score alike; without labels every score is 0.5.
     Other columns are not looked at.
     """
-    model = QualityModel.fit(*labelled_texts(docs, labels, "quality", rows_per_class))
-    # plain arrays: executors may not have this module on their path
-    held = docs.sparkSession.sparkContext.broadcast(vars(model))
+    held = docs.sparkSession.sparkContext.broadcast(fit_on_sample(docs, labels, "quality", lambda *sample: vars(QualityModel.fit(*sample)), rows_per_class))
     return score_documents(docs, lambda texts: QualityModel(**held.value).score(texts))
 
 
