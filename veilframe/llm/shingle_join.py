@@ -5,8 +5,8 @@ with the frequent ones last. A pair that reaches the similarity must meet in the
 n - ceil(t n) + 1 columns of both rows, so candidates come from those columns alone; each column is
 counted once per row, and a column with one row falls away. Rows are drawn to the least row of
 their columns, by the number of columns shared, which groups them into families. Inside a family
-the product is formed block by block; between families overlaps are accumulated column by
-column and pairs below the bound that their sizes set are discarded. What is left is counted exactly.
+the product is formed block by block; between families, pairs whose accumulated columns are below
+the bound that their sizes set are discarded. What is left is counted exactly.
 """
 
 from __future__ import annotations
@@ -262,20 +262,25 @@ class ShingleJoin:
         entries = self.docs.select("text").mapInArrow(lambda it: _entries(it, words, frequent, blocks), "block int, entries binary")
         return materialise(entries.groupBy("block").applyInArrow(lambda t: _columns(t, blocks), "h long, fp long, n long, q int"), "columns")
 
-    def fetch(self, wanted: DataFrame) -> DataFrame:
-        """wanted (fp, ...) with the set of each row, hashed from its text again."""
-        asked = wanted.select("fp").distinct().join(self.kinds, "fp").select("fp", "doc_id")
+    def fetch(self, members: DataFrame) -> DataFrame:
+        """members (cell, fp, side) with the set of each row. A text is hashed once and its set then copied to its cells."""
+        asked = members.groupBy("fp").agg(F.collect_list(F.struct("cell", "side")).alias("cells")).join(self.kinds, "fp").select("fp", "doc_id", "cells")
         asked = materialise(asked, "asked")
-        texts = self.docs.join(F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked, "doc_id").select("fp", "text")
+        texts = self.docs.join(F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked, "doc_id").select("fp", "text", "cells")
         words = self.words
 
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                sets = [s for part in _sets(b.column(1), words) for s in part]
-                own = [i for i, (f, s) in enumerate(zip(b.column(0).to_pylist(), sets, strict=True)) if len(s) and _fingerprint(s) == f]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(own, pa.int64())), pa.array([sets[i].tobytes() for i in own], pa.binary())], ["fp", "s"])
+                fps, first = b.column(0).to_pylist(), 0
+                for sets in _sets(b.column(1), words):
+                    # of rows that repeat an id, the one whose text is meant
+                    own = [i for i, s in enumerate(sets) if len(s) and _fingerprint(s) == fps[first + i]]
+                    at = pa.array([first + i for i in own], pa.int64())
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array([sets[i].tobytes() for i in own], pa.binary()), b.column(2).take(at)], ["fp", "s", "cells"])
+                    first += len(sets)
 
-        return wanted.join(texts.mapInArrow(hashed, "fp long, s binary"), "fp")
+        kind = texts.schema["cells"].dataType.simpleString()
+        return texts.mapInArrow(hashed, f"fp long, s binary, cells {kind}").select("fp", "s", F.explode("cells").alias("c")).select("c.cell", "fp", "c.side", "s")
 
     def multiply(self, members: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
         """Links (a, b) found in cells. members: cell, fp, side; pairs: cell, fp, other."""
@@ -285,14 +290,21 @@ class ShingleJoin:
         n = max(16, int(self.entries // BLOCK_ENTRIES))
         return rows.repartition(n, "cell").sortWithinPartitions("cell", "kind", "fp").mapInArrow(_cells, "a long, b long")
 
+    def bundles(self) -> DataFrame:
+        """(bundle, fp, n, q, shared): prefix columns that hold exactly the same rows, as one; q is the first one's place."""
+        columns = self.columns()
+        rows = [F.bit_xor(F.xxhash64("fp", F.lit(i))) for i in (0, 1)]
+        of = columns.groupBy("h").agg(F.xxhash64(*rows, F.count("*")).alias("bundle"))
+        return materialise(columns.join(of, "h").groupBy("bundle", "fp", "n").agg(F.min("q").alias("q"), F.count("*").alias("shared")), "bundles")
+
     def links(self) -> DataFrame:
         """(a, b): pairs of rows that span every group of linked rows."""
-        columns = self.columns()
+        bundles = self.bundles()
         place = F.xxhash64("fp")
-        least = columns.groupBy("h").agg(F.min(F.struct(place.alias("place"), F.col("fp").alias("other"), F.col("n").alias("m"), F.col("q").alias("r"))).alias("hub")).select("h", "hub.other", "hub.m", "hub.r")
-        drawn = columns.join(least, "h").filter((F.col("fp") != F.col("other")) & _compatible(F.col("n"), F.col("m")))
+        least = bundles.groupBy("bundle").agg(F.min(F.struct(place.alias("place"), F.col("fp").alias("other"), F.col("n").alias("m"), F.col("q").alias("r"))).alias("hub")).select("bundle", "hub.other", "hub.m", "hub.r")
+        drawn = bundles.join(least, "bundle").filter((F.col("fp") != F.col("other")) & _compatible(F.col("n"), F.col("m")))
         drawn = drawn.filter(F.least(_rest(F.col("n"), F.col("q")), _rest(F.col("m"), F.col("r"))) >= _needed(F.col("n"), F.col("m")))
-        best = drawn.groupBy("fp", "other").agg(F.count("*").alias("shared")).groupBy("fp").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
+        best = drawn.groupBy("fp", "other").agg(F.sum("shared").alias("shared")).groupBy("fp").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
         family = connected_components(best.select(F.col("fp").alias("a"), F.col("other").alias("b")))
         family = materialise(family.select(F.col("node").alias("fp"), F.col("component").alias("family")), "family")
 
@@ -304,16 +316,21 @@ class ShingleJoin:
         members = spread.select("fp", cell.alias("cell"), F.when(F.col("part") == F.col("with"), 2).when(F.col("part") < F.col("with"), 0).otherwise(1).alias("side"))
         inside = materialise(self.multiply(members), "inside")
 
-        # between families, overlaps are accumulated over the columns that rows of several families share
-        groups_ = columns.join(chunk, "fp", "left").withColumn("family", F.coalesce("family", "fp")).withColumn("part", F.coalesce("part", F.lit(0)))
-        mixed = groups_.groupBy("h").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).filter("lo <> hi").select("h")
-        left = groups_.join(mixed, "h", "left_semi").select("h", "fp", "n", "family", "part")
-        right = left.select("h", *[F.col(c).alias(f"{c}_") for c in ("fp", "n", "family", "part")])
-        met = left.join(right, "h").filter((F.col("family") < F.col("family_")) & _compatible(F.col("n"), F.col("n_")))
-        met = met.groupBy("fp", "fp_", "n", "n_", "family", "family_", "part", "part_").agg(F.count("*").alias("shared"))
-        beyond = F.greatest(F.ceil(F.col("n") * OVER / UNDER), F.ceil(F.col("n_") * OVER / UNDER)) - 1
-        met = met.filter(F.col("shared") + beyond >= _needed(F.col("n"), F.col("n_")))
-        met = materialise(met.select(F.xxhash64("family", "part", "family_", "part_").alias("cell"), "fp", F.col("fp_").alias("other")), "met")
+        # Rows of different families meet where columns of theirs are shared. A pair that links has its
+        # first common column early enough in both rows for the overlap it needs, and that overlap
+        # is no more than the shared prefix columns of either row and what lies beyond the prefixes.
+        own = bundles.join(chunk, "fp", "left").withColumn("family", F.coalesce("family", "fp")).withColumn("part", F.coalesce("part", F.lit(0)))
+        mixed = own.groupBy("bundle").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).filter("lo <> hi").select("bundle")
+        left = own.join(mixed, "bundle", "left_semi").select("bundle", "fp", "n", "q", "shared", "family", "part")
+        most = left.groupBy("fp").agg(F.sum("shared").alias("most"))
+        left = materialise(left.join(most, "fp"), "mixed")
+        right = left.select("bundle", *[F.col(c).alias(f"{c}_") for c in ("fp", "n", "q", "family", "part", "most")])
+        n, m = F.col("n"), F.col("n_")
+        beyond = F.ceil(F.greatest(n, m) * OVER / UNDER) - 1
+        early = F.least(_rest(n, F.col("q")), _rest(m, F.col("q_"))) >= _needed(n, m)
+        enough = F.least("most", "most_") + beyond >= _needed(n, m)
+        met = left.join(right, (left.bundle == right.bundle) & (F.col("family") < F.col("family_")) & _compatible(n, m) & early & enough)
+        met = materialise(met.select(F.xxhash64("family", "part", "family_", "part_").alias("cell"), "fp", F.col("fp_").alias("other")).distinct(), "met")
         members = met.select("cell", "fp").unionByName(met.select("cell", F.col("other").alias("fp"))).distinct().withColumn("side", F.lit(3))
         return inside.unionByName(self.multiply(members, met))
 
