@@ -8,6 +8,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +46,9 @@ def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, fit: Callable[
         rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
         if rows:
             rows.sort(key=lambda r: (r[0], r[1]))
-            yield pa.RecordBatch.from_arrays([pa.array([fitted([r[1] for r in rows], np.array([r[2] for r in rows], np.int64))], pa.binary())], ["model"])
+            model = fitted([r[1] for r in rows], np.array([r[2] for r in rows], np.int64))
+            rows.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     made = sample.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(made[0].model if made else fitted([], np.zeros(0, np.int64)))
@@ -72,14 +75,19 @@ def as_texts(texts: list[str]) -> Iterator[tuple[int, int, Texts]]:
 
 
 def score_documents(docs: DataFrame, score: Callable[[Texts], np.ndarray], keep: str | None = None) -> DataFrame:
-    """doc_id, held_out and score of every row, and the column named keep; score is run over groups of whole texts on the executors."""
+    """doc_id, held_out and score of every row; score is run over groups of whole texts on the executors.
+
+    keep names a struct of the row's columns, which is passed on and whose field text is scored.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [score(texts) for _, _, texts in groups(b.column(2), GROUP_BYTES)]
+            text = pc.struct_field(b.column(2), "text") if keep else b.column(2)
+            parts = [score(texts) for _, _, texts in groups(text, GROUP_BYTES)]
             scores = pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *b.columns[3:], scores], [*b.schema.names[:2], *b.schema.names[3:], "score"])
+            kept = [b.column(2)] if keep else []
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *kept, scores], ["doc_id", "held_out", *([keep] if keep else []), "score"])
 
-    given = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text", *([keep] if keep else []))
-    schema = T.StructType([f for f in given.schema if f.name != "text"]).add("score", "double")
+    given = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), keep or "text")
+    schema = T.StructType([f for f in given.schema if keep or f.name != "text"]).add("score", "double")
     return given.mapInArrow(run, schema)
