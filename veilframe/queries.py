@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from veilframe.functions import checks, geometry, jsonio, textnorm
 from veilframe.functions.numeric import half_even
 from veilframe.operators import decode, folds, localize, reports, trainset, verify
-from veilframe.plans import pages as page_plan
 from veilframe.sources import pages as page_sources
 from veilframe.sources import sinks
 
@@ -477,19 +476,6 @@ def region_ids(spark, sf_dir):
     return verify.number(b).select("page", F.col("ord").alias("idx"), "id")
 
 
-@query()
-def page_pipeline(spark, sf_dir):
-    """Recorded answers and OCR boxes to numbered regions, the whole plan. A rows-only check: its parts have SQL above."""
-    b = boxes(spark, sf_dir).filter("page % 4 = 0")
-    item = F.struct(F.substring("txt", 1, 5).alias("text"), F.col("label").alias("type"), F.lit("").alias("field"), F.array("mx1", "my1", "mx2", "my2").alias("bbox_2d"), "conf")
-    raw = F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("idx", item.alias("i")))), lambda s: s["i"]).alias("findings")))
-    answers = b.groupBy("page").agg(raw.alias("raw")).select("page", F.lit(0).alias("tile"), F.lit(0).alias("sample"), "raw", geometry.rect(0.0, 0.0, 1.0, 1.0).alias("rect"), *[F.lit(v).alias(n) for n, v in (("seen_w", W), ("seen_h", H), ("page_w", W), ("page_h", H))])
-    found = page_plan.detect(answers)
-    ocr = b.select("page", "idx", "bbox", F.col("txt").alias("text"), "status")
-    near = lambda ratio: page_plan.crops(found, ratio).select("page", "ord", "crop").join(ocr, "page").filter(geometry.overlap_area(F.col("bbox"), F.col("crop")) > 0).drop("crop")
-    return page_plan.analyse(answers, near(0.35), near(1.2)).select("page", "id", "type", "source", "agreement", "needs_review", *flat("bbox"))
-
-
 # --- reports -------------------------------------------------------------------------------------
 
 _REG = f"SELECT page, CASE WHEN status = 'FAILED' THEN 'VLM_COARSE' ELSE 'OCR_REFINED' END AS source, CASE WHEN supp % 2 = 0 THEN 'EXACT' ELSE 'NONE' END AS agreement, CASE WHEN part % 5 = 0 THEN 'failed' WHEN part % 5 = 1 THEN 'ok' END AS checksum, supp % 3 = 0 AS needs_review, label AS type FROM ({BOXES})"
