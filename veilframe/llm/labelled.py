@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilframe.llm.shared import held_out
-from veilframe.llm.words import GROUP_BYTES, Texts, groups
+from veilframe.llm.words import GROUP_BYTES, Texts, groups, lean
 
 #: At most so many labelled documents of each class are learnt from.
 ROWS_PER_CLASS = 4_000
@@ -42,6 +42,7 @@ def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, fit: Callable[
         weight = share[y] if len(y) else np.zeros(0)
         return pickle.dumps(fit(texts, y, weight / max(weight.sum(), 1e-9) * len(y)))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
         if rows:
@@ -80,6 +81,7 @@ def score_documents(docs: DataFrame, score: Callable[[Texts], np.ndarray], keep:
     keep names a struct of the row's columns, which is passed on and whose field text is scored.
     """
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = pc.struct_field(b.column(2), "text") if keep else b.column(2)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from veilframe.llm.shared import documents, materialise
 from veilframe.llm.tokens import WordTokenizer
-from veilframe.llm.words import groups
+from veilframe.llm.words import groups, lean
 
 WINDOW = 2048
 OPEN_WINDOWS = 32
@@ -64,6 +64,7 @@ class BestFit:
             yield self._emit(0)
 
 
+@lean
 def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, most: int) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     fit, tokenizer, row = BestFit(window, most), WordTokenizer(path, END_ID), part << 40
@@ -80,7 +81,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, most: int)
 
     for b in batches:
         doc_ids = b.column(0).to_pylist()
-        for first, last, texts in groups(b.column(1), 2 << 20):
+        for first, last, texts in groups(b.column(1)):
             ids, at = tokenizer.encode(texts)
             raw, at = memoryview(ids.astype("<u4").tobytes()), at.tolist()
             for i in range(last - first):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm.shared import documents, materialise
-from veilframe.llm.words import Texts, Words, groups
+from veilframe.llm.words import Texts, Words, groups, lean
 
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
@@ -132,6 +132,7 @@ def apply_rules(docs: DataFrame, *, rules: dict = RULES, threshold: float = 0.5)
     the driver.
     """
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts = [text_statistics(t) for _, _, t in groups(b.column(1))]

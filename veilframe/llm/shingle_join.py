@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from veilframe.llm.components import connected_components
 from veilframe.llm.shared import documents, materialise
-from veilframe.llm.words import Words, groups, mix
+from veilframe.llm.words import Words, groups, lean, mix
 
 WORDS = 5
 #: Similarity: at least OVER of UNDER parts of the union.
@@ -58,6 +58,7 @@ def _prefix(n: int) -> int:
     return n - -(-OVER * n // UNDER) + 1
 
 
+@lean
 def _measure(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """A row per document (kind 0: doc_id, n, fingerprint), and at the end the columns that are frequent here (kind 1: column, rows)."""
     names = ["kind", "a", "n", "fp"]
@@ -97,6 +98,7 @@ def _measure(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
 _ENTRY = np.dtype([("h", "<u8"), ("fp", "<i8"), ("n", "<u4"), ("q", "u1")])
 
 
+@lean
 def _entries(batches: Iterator[pa.RecordBatch], words: int, frequent: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
     """Prefix entries (column, row, row size, place in the row by 256ths) as bytes, by block of columns; frequent columns go to blocks of their own by row."""
     done: set[int] = set()
@@ -162,6 +164,7 @@ def _rest(n: Column, q: Column) -> Column:
     return n - F.floor(n * q / 256)
 
 
+@lean
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by cell: sets (kind 0, with side) and then the pairs asked for (kind 1). Without pairs, all of sides 0 and 1, or of side 2, are multiplied.
 
@@ -269,6 +272,7 @@ class ShingleJoin:
         texts = self.docs.join(F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked, "doc_id").select("fp", "text", "cells")
         words = self.words
 
+        @lean
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 fps, first = b.column(0).to_pylist(), 0

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,20 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def lean(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """run, which gives memory that it freed back to the system at its ends: Python workers wait for further stages and would hold it."""
+
+    def trimmed(*given) -> Iterator:
+        try:
+            yield from run(*given)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return trimmed
+
+
 class Texts:
     """UTF-8 bytes of some texts and where each begins; null texts are empty."""
 
