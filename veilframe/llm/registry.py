@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veilframe.llm import embedding_join, mixing, packing, pseudonyms, quality_model, quality_rules, secrets, sharding, shingle_join, toxicity
+from veilframe.llm import embedding_join, mixing, oracles, packing, pseudonyms, quality_model, quality_rules, secrets, sharding, shingle_join, toxicity
 
 
 def queries() -> dict:
@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.ORACLES)
