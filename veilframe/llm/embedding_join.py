@@ -139,7 +139,11 @@ def link_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "e
     cuts = ordered.agg(F.percentile_approx("place", F.array(*[F.lit(i / n_blocks) for i in range(1, n_blocks)]), F.lit(max(10_000, 20 * n_blocks)))).first()[0] if n_blocks > 1 else []
     cuts = np.array(cuts, np.int64)
 
-    of_block = ordered.withColumn("block", F.lit(0) if not len(cuts) else F.size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]), lambda c: c < F.col("place"))))
+    def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.append_column("block", pa.array(np.searchsorted(cuts, b.column(3).to_numpy()).astype(np.int64)))
+
+    of_block = ordered.mapInArrow(blocked, "rep long, v binary, times long, place long, p array<double>, block long")
     boxes = of_block.groupBy("block").agg(*[f(F.col("p")[i]).alias(f"{n}{i}") for i in range(k) for n, f in (("l", F.min), ("h", F.max))]).collect()
     blocks = np.array([r.block for r in boxes])
     low, high = (np.array([[r[f"{n}{i}"] for i in range(k)] for r in boxes]) for n in "lh")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from veilframe.llm.shared import materialise, n_words
+from veilframe.llm.shared import documents, materialise, n_words
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -152,11 +152,10 @@ def mix_with_targets(docs: DataFrame, **options) -> DataFrame:
     """mix_sources() with source_size and target of each document's first source."""
     o = {"members": None, "weights": WEIGHTS, "share": SHARE, "repeats": REPEATS, "seed": 17} | options
     mixed, sizes, wanted = _mixed(docs, o["members"], o["weights"], o["share"], o["repeats"], o["seed"])
-    rows = [(x, x is None, sizes[x], float(wanted[x])) for x in sizes]
-    table = docs.sparkSession.createDataFrame(rows, "source string, unnamed boolean, source_size long, target double")
+    table = docs.sparkSession.createDataFrame([(x, sizes[x], float(wanted[x])) for x in sizes], "source string, source_size long, target double")
     own = mixed.withColumn("source", F.try_element_at("members", F.lit(1)))
     # one row for each source, at most MAX_PATTERNS
-    return own.join(F.broadcast(table.drop("unnamed")), own.source.eqNullSafe(table.source), "left").drop(table.source)
+    return own.join(F.broadcast(table), own.source.eqNullSafe(table.source), "left").drop(table.source)
 
 
 def _mixed(docs, members, weights, share, repeats, seed, keep=None):
@@ -198,6 +197,4 @@ def _mixed(docs, members, weights, share, repeats, seed, keep=None):
 
 
 def op5_mix_sources(spark, sf_dir):
-    from veilframe.llm.shared import documents
-
     return mix_with_targets(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
