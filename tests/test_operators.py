@@ -168,3 +168,14 @@ def test_plans_have_no_cartesian_product(table):
     for df in (localize.match_text(p), localize.select_by_place(p)):
         said = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in said and "BroadcastNestedLoopJoin" not in said
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 9, 10, 11, 100])
+def test_spread_is_exact(table, n):
+    from statistics import median
+
+    v = [((i * 37) % 23) / 7 for i in range(n)]
+    r = reports.spread(table([(x,) for x in v] + [(None,)], "v double"), F.col("v")).first()
+    s = sorted(v)
+    want = (n, median(s), s[max(0, int(n * 0.10) - 1)], s[min(n - 1, int(n * 0.90))]) if n else (0, None, None, None)
+    assert (r.n, r.median, r.low, r.high) == want

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilframe.operators.folds import union_items
@@ -62,20 +62,28 @@ def centre_pairs(regions: DataFrame) -> DataFrame:
     )
 
 
+CELLS = 1024
+
+
 def spread(df: DataFrame, value: Column) -> DataFrame:
-    """median, low and high of a value. Low is the sorted value before the first tenth, high the one at nine tenths.
+    """n, median, low and high of a value. Low is the sorted value before the first tenth, high the one at nine tenths.
 
-    Exact order statistics need no list in one task: ranks pick the two rows.
+    Exact order statistics without one sorted list: distinct values are ranked within CELLS equal
+    parts of their range, each of which starts where the counts of the parts before it end.
     """
-    v = df.select(value.cast("double").alias("v")).filter("v IS NOT NULL")
-    n = v.agg(F.count("*").alias("n"), F.median("v").alias("median"))
-    counted = v.groupBy("v").agg(F.count("*").alias("k"))
-    below = counted.alias("a").sparkSession.sql("SELECT v, k, sum(k) OVER (ORDER BY v) AS upto FROM {counted}", counted=counted)
-    ranked = below.crossJoin(F.broadcast(n))  # one row
+    counted = df.select(value.cast("double").alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("k"))
+    ends = counted.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
+    placed = counted.crossJoin(F.broadcast(ends))  # one row
+    cell = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(CELLS - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * CELLS))).otherwise(0)
+    placed = placed.withColumn("cell", cell)
+    cells = placed.groupBy("cell").agg(F.sum("k").alias("own"))  # at most CELLS rows
+    before = cells.select("cell", (F.sum("own").over(Window.partitionBy(F.lit(0)).orderBy("cell")) - F.col("own")).alias("before"))
+    ranked = placed.join(F.broadcast(before), "cell").withColumn("upto", F.col("before") + F.sum("k").over(Window.partitionBy("cell").orderBy("v")))
     at = lambda i: F.min(F.when(F.col("upto") > i, F.col("v")))
-    low = F.greatest(F.lit(0), F.floor(F.col("n") * 0.10) - 1)
-    high = F.least(F.col("n") - 1, F.floor(F.col("n") * 0.90))
-    return ranked.agg(F.max("n").alias("n"), F.first("median").alias("median"), at(low).alias("low"), at(high).alias("high"))
+    n = F.col("n")
+    middle = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
+    low, high = at(F.greatest(F.lit(0), F.floor(n * 0.10) - 1)), at(F.least(n - 1, F.floor(n * 0.90)))
+    return ranked.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), middle.alias("median"), low.alias("low"), high.alias("high"))
 
 
 def slope(x: Column, y: Column) -> Column:
