@@ -334,9 +334,14 @@ class ShingleJoin:
         early = F.least(_rest(n, F.col("q")), _rest(m, F.col("q_"))) >= _needed(n, m)
         enough = F.least("most", "most_") + beyond >= _needed(n, m)
         met = left.join(right, (left.bundle == right.bundle) & (F.col("family") < F.col("family_")) & _compatible(n, m) & early & enough)
-        met = materialise(met.select(F.xxhash64("family", "part", "family_", "part_").alias("cell"), "fp", F.col("fp_").alias("other")).distinct(), "met")
+        pair = ["fp", "n", "fp_", "n_", "family", "part", "family_", "part_"]
+        met = met.select(*pair).distinct()
+        # what the two rows really share of their prefixes, accumulated over all their columns
+        met = met.join(left.select("fp", "bundle", "shared"), "fp").join(left.select(F.col("fp").alias("fp_"), "bundle"), ["fp_", "bundle"])
+        met = met.groupBy(*pair).agg(F.sum("shared").alias("shared")).filter(F.col("shared") + beyond >= _needed(n, m))
+        met = materialise(met.select(F.xxhash64("family", "part", "family_", "part_").alias("cell"), "fp", F.col("fp_").alias("other")), "met")
         members = met.select("cell", "fp").unionByName(met.select("cell", F.col("other").alias("fp"))).distinct().withColumn("side", F.lit(3))
-        return inside.unionByName(self.multiply(members, met))
+        return materialise(inside.unionByName(self.multiply(members, met)), "links")
 
 
 def join_shingles(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
