@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilframe.llm.shared import held_out
+from veilframe.llm.shared import held_out, small_batches
 from veilframe.llm.words import GROUP_BYTES, Texts, groups, lean
 
 #: At most so many labelled documents of each class are learnt from.
@@ -90,6 +90,7 @@ def score_documents(docs: DataFrame, score: Callable[[Texts], np.ndarray], keep:
             kept = [b.column(2)] if keep else []
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *kept, scores], ["doc_id", "held_out", *([keep] if keep else []), "score"])
 
+    small_batches(docs.sparkSession)
     given = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), keep or "text")
     schema = T.StructType([f for f in given.schema if keep or f.name != "text"]).add("score", "double")
     return given.mapInArrow(run, schema)

@@ -158,12 +158,20 @@ def mix_with_targets(docs: DataFrame, **options) -> DataFrame:
     return own.join(F.broadcast(table), own.source.eqNullSafe(table.source), "left").drop(table.source)
 
 
+def _sized(docs, members, seed, keep=()):
+    of = F.array(F.col("source").cast("string")) if members is None else F.array_sort(F.array_distinct(F.coalesce(F.col(members), F.array().cast("array<string>"))))
+    return docs.select("doc_id", of.alias("members"), n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.length("text")).alias("place"), *keep)
+
+
+def _key():
+    """A document's place on the line of its pattern; cells holds the pattern's number of cells."""
+    cell = F.pmod(F.shiftrightunsigned("place", 3), F.col("cells").cast("long"))
+    return F.struct(cell.alias("cell"), F.col("place").alias("place"), F.col("doc_id").alias("doc_id"), F.col("size").alias("size"))
+
+
 def _mixed(docs, members, weights, share, repeats, seed, keep=None):
     spark = docs.sparkSession
-    of = F.array(F.col("source").cast("string")) if members is None else F.array_sort(F.array_distinct(F.coalesce(F.col(members), F.array().cast("array<string>"))))
-    sized = materialise(
-        docs.select("doc_id", of.alias("members"), n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.length("text")).alias("place"), *([keep] if keep else [])), "sizes"
-    )
+    sized = materialise(_sized(docs, members, seed), "sizes")
     found = sized.groupBy("members").agg(F.sum("size").alias("words"), F.count("*").alias("docs")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -175,24 +183,34 @@ def _mixed(docs, members, weights, share, repeats, seed, keep=None):
     order = sorted(sizes, key=lambda x: (x is None, x or ""))
     wanted = dict(zip(order, quotas([sizes[x] for x in order], [weights[i % len(weights)] for i in range(len(order))], share * sum(r.words for r in found), repeats), strict=True)) if order else {}
     routed = route([(tuple(r.members), r.words) for r in found], wanted, repeats)
-    table = []
+    table, parts = [], []
     for i, (r, to) in enumerate(zip(found, routed, strict=True)):
-        ends, at = [], 0
-        for x in r.members:
-            ends.append((x, at, at := at + to[x]))
-        table.append((i, list(r.members), r.words, min(MAX_CELLS, 1 + r.docs // DOCS_PER_CELL), at, ends))
-    schema = "pattern int, members array<string>, words long, cells int, routed long, parts array<struct<source:string,lo:long,hi:long>>"
-    plan = F.broadcast(spark.createDataFrame(table, schema))  # at most MAX_PATTERNS rows
-    line = sized.join(plan, "members").withColumn("cell", F.pmod(F.shiftrightunsigned("place", 3), F.col("cells").cast("long")))
-    starts = line.select("pattern", "cell", "size").groupBy("pattern", "cell").agg(F.sum("size").alias("cell_words"))
+        table.append((i, list(r.members), r.words, min(MAX_CELLS, 1 + r.docs // DOCS_PER_CELL)))
+        at = 0
+        for k, x in enumerate(r.members):
+            parts.append((i, k, x, at, at := at + to[x]))
+    plan = F.broadcast(spark.createDataFrame(table, "pattern int, members array<string>, words long, cells int"))  # at most MAX_PATTERNS rows
+    line = sized.join(plan, "members").withColumn("key", _key()).withColumn("cell", F.col("key.cell"))
+    starts = line.groupBy("pattern", "cell").agg(F.sum("size").alias("cell_words"))
     starts = starts.select("pattern", "cell", (F.sum("cell_words").over(Window.partitionBy("pattern").orderBy("cell")) - F.col("cell_words")).alias("cell_start"))
     within = Window.partitionBy("pattern", "cell").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     line = line.join(starts, ["pattern", "cell"]).withColumn("at", F.col("cell_start") + F.sum("size").over(within) - F.col("size"))
-    # a copy is taken if the middle of its words lies on the routed length
-    middle = [F.col("words") * r * 2 + F.col("at") * 2 + F.col("size") for r in range(repeats)]
-    takes = lambda m: F.element_at(F.transform(F.filter("parts", lambda p: (m >= p.lo * 2) & (m < p.hi * 2)), lambda p: p.source), 1)
-    counted = F.array(*[F.when((F.col("size") > 0) & (m < F.col("routed") * 2), F.struct(F.lit(r + 1).alias("copy"), takes(m).alias("source"))) for r, m in enumerate(middle)])
-    out = line.withColumn("allocation", F.array_compact(counted)).withColumn("copies", F.size("allocation"))
+    # A copy counts for the part of the routed length on which the middle of its words lies. Parts lie one
+    # after another, so the last key of each part says for every document, wherever it is read, what it gives.
+    middle = F.explode(F.array(*[F.struct(F.lit(r).alias("copy"), (F.col("words") * 2 * r + F.col("at") * 2 + F.col("size")).alias("m")) for r in range(repeats)]))
+    spots = line.filter("size > 0").select("pattern", "key", middle.alias("c")).select("pattern", "key", "c.copy", "c.m")
+    ends = F.broadcast(spark.createDataFrame(parts, "pattern int, part int, source string, lo long, hi long"))  # one row for each pattern and source
+    last = spots.join(ends, "pattern").filter("m >= lo * 2 AND m < hi * 2").groupBy("pattern", "copy", "part", "source").agg(F.max("key").alias("last"))
+    bounds = last.groupBy("pattern").agg(F.array_sort(F.collect_list(F.struct("copy", "part", "source", "last"))).alias("bounds"))
+    plan = F.broadcast(plan.join(bounds, "pattern", "left"))
+    rows = (_sized(docs, members, seed, (keep,)) if keep else sized).join(plan, "members").withColumn("key", _key())
+
+    def gives(copy: int):
+        mine = F.filter("bounds", lambda b: (b["copy"] == copy) & (F.col("key") <= b["last"]))
+        return F.when(F.col("size") > 0, F.transform(F.slice(mine, 1, 1), lambda b: F.struct((b["copy"] + 1).alias("copy"), b["source"].alias("source"))))
+
+    none = F.array().cast("array<struct<copy:int,source:string>>")
+    out = rows.withColumn("allocation", F.concat(*[F.coalesce(gives(r), none) for r in range(repeats)])).withColumn("copies", F.size("allocation"))
     return out.select("doc_id", "members", "size", "copies", (F.col("copies") * F.col("size")).alias("taken"), "allocation", *([keep] if keep else [])), sizes, wanted
 
 

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.shared import documents, materialise
+from veilframe.llm.shared import documents, materialise, small_batches
 from veilframe.llm.tokens import WordTokenizer
 from veilframe.llm.words import groups, lean
 
@@ -129,6 +129,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW
     opened by executors at tokenizer_path and must lie there on each of them. An empty table gives
     an empty result.
     """
+    small_batches(docs.sparkSession)
     schema = PIECE + ", open boolean"
     pieces = materialise(docs.select("doc_id", "text").mapInArrow(lambda it: _pack(it, tokenizer_path, window, open_windows), schema), "pieces")
     left = pieces.filter("open").drop("open").withColumn("merge", F.expr(f"(sequence_id >> 32) div {MERGE}"))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from veilframe.llm.shared import documents
+from veilframe.llm.shared import documents, small_batches
 from veilframe.llm.words import groups
 
 ROUNDS = 10
@@ -238,6 +238,7 @@ def pseudonymise_documents(docs: DataFrame, *, key: bytes = KEY, back: bool = Fa
                         counts[k][i] = x
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), *map(pa.array, counts.values())], ["doc_id", "text", *[f"n_{k}" for k in KINDS]])
 
+    small_batches(docs.sparkSession)
     given = docs.select("doc_id", "text")
     return given.mapInArrow(run, f"doc_id {given.schema['doc_id'].dataType.simpleString()}, text string, " + ", ".join(f"n_{k} long" for k in KINDS))
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.shared import documents, materialise
+from veilframe.llm.shared import documents, materialise, small_batches
 from veilframe.llm.words import Texts, Words, groups, lean
 
 REPEAT_WINDOW = 8
@@ -139,6 +139,7 @@ def apply_rules(docs: DataFrame, *, rules: dict = RULES, threshold: float = 0.5)
             columns = [pa.array(np.concatenate([p[k] for p in parts]) if parts else [], pa.int64(), safe=False) if parts else pa.array([], pa.int64()) for k in STATS]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["doc_id", *STATS])
 
+    small_batches(docs.sparkSession)
     given = docs.select("doc_id", "text")
     schema = f"doc_id {given.schema['doc_id'].dataType.simpleString()}, " + ", ".join(f"{k} long" for k in STATS)
     code = sum((votes(*rule).cast("long") * 3**i for i, rule in enumerate(rules.values())), F.lit(0).cast("long"))

@@ -160,9 +160,7 @@ def scan(docs: DataFrame, *, keep: tuple[str, ...] = (), false_discoveries: floa
     Null and empty texts have no spans. Repeated rows are scanned each. The number of tokens in a
     class, over the whole table, sets how small a p-value must be, so a result depends on all rows.
     """
-    text = F.coalesce("text", F.lit(""))
-    base = docs.select("doc_id", *keep, text.alias("_text"), *[_long_enough(find_all(text, p, g), least).alias(f"_{kind}") for kind, (p, g, least) in BASE.items()], find_all(text, CANDIDATE).alias("_found"))
-    scanned = materialise(base.withColumn("candidates", _candidates(F.col("_text"), F.col("_found"), F.concat(*[F.col(f"_{k}") for k in BASE]))).drop("_text", "_found"), "scanned")
+    scanned = materialise(_scanned(docs, ()), "scanned")
     least = _thresholds(scanned, false_discoveries)
     passes = lambda c: F.lit(False)
     if least:
@@ -172,7 +170,16 @@ def scan(docs: DataFrame, *, keep: tuple[str, ...] = (), false_discoveries: floa
     random = _ranked(F.filter("candidates", passes), len(BASE))
     kinds = F.array(*[F.lit(k) for k in (*BASE, "random")])
     spans = F.transform(F.array_sort(F.concat(*labelled, random)), lambda s: F.struct(F.get(kinds, s["rank"]).alias("kind"), s.start.alias("start"), s.end.alias("end")))
-    return scanned.select("doc_id", *keep, spans.alias("spans"))
+    # columns that are carried, such as texts, are not written: with known thresholds the scan is repeated
+    return (_scanned(docs, keep) if keep else scanned).select("doc_id", *keep, spans.alias("spans"))
+
+
+def _scanned(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """Base spans by kind and candidates of every row."""
+    text = F.coalesce("text", F.lit(""))
+    base = docs.select("doc_id", *keep, text.alias("_text"), *[_long_enough(find_all(text, p, g), least).alias(f"_{kind}") for kind, (p, g, least) in BASE.items()], find_all(text, CANDIDATE).alias("_found"))
+    taken = F.concat(*[F.col(f"_{k}") for k in BASE])
+    return base.withColumn("candidates", _candidates(F.col("_text"), F.col("_found"), taken)).drop("_text", "_found")
 
 
 def _long_enough(found: Column, least: int) -> Column:

@@ -51,6 +51,13 @@ def _clean() -> None:
             return
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows hold whole texts, so Arrow batches of the default 10,000 rows are large; a setting of the user's own stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def n_words(text: Column) -> Column:
     """Number of words as a long; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm.components import connected_components
-from veilframe.llm.shared import documents, materialise
+from veilframe.llm.shared import documents, materialise, small_batches
 from veilframe.llm.words import Words, groups, lean, mix
 
 WORDS = 5
@@ -248,6 +248,7 @@ class ShingleJoin:
     """The steps of one join over a table of documents (doc_id, text)."""
 
     def __init__(self, docs: DataFrame, words: int = WORDS) -> None:
+        small_batches(docs.sparkSession)
         self.docs, self.words = docs.select("doc_id", "text"), words
         measured = materialise(self.docs.mapInArrow(lambda it: _measure(it, words), "kind int, a long, n long, fp long"), "measured")
         self.rows = measured.filter("kind = 0").select(F.col("a").alias("doc_id"), "n", "fp")
