@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veilframe.functions.geometry import overlap_ratio
 from veilframe.operators.folds import union_items
 
 SHIFT, SCALE_TOLERANCE, ALIGNED, MOSTLY = 0.015, 0.03, 0.005, 0.5
@@ -123,3 +124,15 @@ def gap_verdict(best: Column, worst: Column) -> Column:
 
 def compare_variants(regions: DataFrame) -> DataFrame:
     return union_items(regions)
+
+
+def truth_recall(truth: DataFrame, regions: DataFrame, least: float = 0.3) -> DataFrame:
+    """Share of true regions (page, ord, type, bbox, difficulty) that some region of their type covers, by difficulty."""
+    r = regions.select("page", "type", F.col("bbox").alias("_b"))
+    hit = truth.join(r, ["page", "type"]).filter(overlap_ratio(F.col("bbox"), F.col("_b")) >= least).select("page", "ord").distinct().withColumn("hit", F.lit(True))
+    return truth.join(hit, ["page", "ord"], "left").groupBy("difficulty").agg(F.count("*").alias("n"), F.count_if(F.coalesce("hit", F.lit(False))).alias("n_found"), F.round(F.count_if(F.coalesce("hit", F.lit(False))) / F.count("*"), 6).alias("recall"))
+
+
+def by_document(regions: DataFrame) -> DataFrame:
+    """Regions and open reviews by document, page and type, with subtotals (nulls stand for all)."""
+    return regions.rollup("doc", "page", "type").agg(F.count("*").alias("n"), F.count_if("needs_review").alias("n_review"))

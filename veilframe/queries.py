@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veilframe.functions import checks, geometry, jsonio, textnorm
 from veilframe.functions.numeric import half_even
-from veilframe.operators import decode, folds, localize, reports, trainset, verify
+from veilframe.operators import attempts, decode, folds, localize, reports, trainset, verify
 from veilframe.sources import pages as page_sources
 from veilframe.sources import sinks
 
@@ -569,6 +569,51 @@ def relative_recall(spark, sf_dir):
     return reports.relative_recall(_items(spark, sf_dir), ["a", "b"])
 
 
+@query(
+    f"WITH m AS ({MOVED}), h AS (SELECT DISTINCT t.page, t.idx FROM m AS t JOIN m AS r ON t.page = r.page AND t.label = r.label AND r.status <> 'FAILED'"
+    " WHERE CAST(greatest(0, least(t.x2, r.mx2) - greatest(t.x1, r.mx1)) * greatest(0, least(t.y2, r.my2) - greatest(t.y1, r.my1)) AS DOUBLE) / least(t.w * t.h, r.w * r.h) >= 0.3)"
+    " SELECT m.status AS difficulty, count(*) AS n, count(h.idx) AS n_found, round(count(h.idx) / count(*), 6) AS recall FROM m LEFT JOIN h ON m.page = h.page AND m.idx = h.idx GROUP BY m.status"
+)
+def truth_recall(spark, sf_dir):
+    b = boxes(spark, sf_dir).select("page", F.col("idx").alias("ord"), F.col("label").alias("type"), "bbox", "moved", "status")
+    return reports.truth_recall(b.withColumn("difficulty", F.col("status")), b.filter("status <> 'FAILED'").withColumn("bbox", F.col("moved")))
+
+
+@query(f"SELECT page % 10 AS doc, CAST(NULL AS BIGINT) AS page, CAST(NULL AS STRING) AS type, count(*) AS n, count(*) FILTER (WHERE needs_review) AS n_review FROM ({_REG}) GROUP BY 1 UNION ALL SELECT NULL, NULL, NULL, count(*), count(*) FILTER (WHERE needs_review) FROM ({_REG}) UNION ALL SELECT page % 10, page, NULL, count(*), count(*) FILTER (WHERE needs_review) FROM ({_REG}) GROUP BY 1, 2 UNION ALL SELECT page % 10, page, type, count(*), count(*) FILTER (WHERE needs_review) FROM ({_REG}) GROUP BY 1, 2, 3")
+def rollup_report(spark, sf_dir):
+    return reports.by_document(run_sql(spark, sf_dir, _REG).withColumn("doc", F.col("page") % 10))
+
+
+_TRIES = "SELECT l_orderkey AS page, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS INT) AS attempt, CASE WHEN l_returnflag = 'R' THEN 'ok' END AS raw, CASE WHEN l_returnflag = 'A' THEN 'length' ELSE 'stop' END AS finish_reason FROM lineitem"
+
+
+@query(
+    f"SELECT page, CAST(coalesce(min(attempt) FILTER (WHERE raw IS NOT NULL), max(attempt)) AS INT) AS attempt, max(raw) AS raw, count(*) AS attempts FROM ({_TRIES}) GROUP BY page"
+)
+def first_success_attempt(spark, sf_dir):
+    t = run_sql(spark, sf_dir, _TRIES).withColumn("error", F.when(F.col("raw").isNull(), "unusable"))
+    return attempts.first_success(t, ("page",)).select("page", "attempt", "raw", "attempts")
+
+
+@query(f"SELECT page, CAST(max(attempt) + 1 AS INT) AS attempt, CASE WHEN arg_max(finish_reason, attempt) = 'length' THEN 4096 ELSE 2048 END AS max_tokens FROM ({_TRIES}) GROUP BY page HAVING max(raw) IS NULL AND max(attempt) < 2")
+def calls_to_repeat(spark, sf_dir):
+    t = run_sql(spark, sf_dir, _TRIES).withColumn("error", F.when(F.col("raw").isNull(), "unusable"))
+    return attempts.to_repeat(t, ("page",))
+
+
+@query(f"SELECT page, idx, CAST(w - supp % 30 AS DOUBLE) * h < CAST(w AS DOUBLE) * h * 0.81e0 AS shrunk FROM ({BOXES})")
+def downscale_alarm(spark, sf_dir):
+    b = boxes(spark, sf_dir)
+    return b.select("page", "idx", attempts.shrunk(F.col("w") - F.col("supp") % 30, F.col("h"), F.col("w"), F.col("h")).alias("shrunk"))
+
+
+@query(f"SELECT page, idx, 'r001 ' || label || ' ' || printf('%.2f', conf) || CASE WHEN part % 5 = 0 THEN ' X' WHEN part % 5 = 1 THEN ' OK' WHEN supp % 3 = 0 THEN ' !' ELSE '' END AS label FROM ({BOXES})")
+def overlay_labels(spark, sf_dir):
+    b = boxes(spark, sf_dir)
+    checksum = F.when(F.col("part") % 5 == 0, "failed").when(F.col("part") % 5 == 1, "ok")
+    return b.select("page", "idx", sinks.overlay_label(F.lit("r001"), F.col("label"), F.col("conf"), checksum, F.col("supp") % 3 == 0).alias("label"))
+
+
 # --- training set --------------------------------------------------------------------------------
 
 _TILES = "SELECT CAST(0 AS INT) AS tile, 0 AS lo UNION ALL SELECT 1, 736 UNION ALL SELECT 2, 1504"
