@@ -205,7 +205,7 @@ def test_toxicity(table):
     assert {r.doc_id for r in got if r.held_out} >= set(held)
     assert np.mean([(score[i] >= 0.5) == (i % 4 == 0) for i in held]) > 0.95
     assert score[10_002] > score[10_003]  # an inflection that was never seen
-    assert [r.score for r in toxicity.score_toxicity(d, lab.limit(0)).collect()] == [0.5] * len(got)
+    assert [r.score for r in toxicity.score_toxicity(d, lab.limit(0)).collect()] == [0.0] * len(got)
     assert toxicity.score_toxicity(d.limit(0), lab).count() == 0
 
 
@@ -452,3 +452,17 @@ def test_labels_of_the_held_out_fold_are_not_learnt(table):
     rows = [(i, f"w{i}") for i in range(200)]
     seen = labelled.fit_on_sample(table(rows, DOCS), table([(i, i % 2) for i in range(200)], "doc_id long, toxic int"), "toxic", lambda t, y, w: sorted(t))
     assert set(seen) == {f"w{i}" for i in range(200) if zlib.crc32(str(i).encode()) % 5}
+
+
+def test_pipeline_of_nothing(spark, table, tmp_path, tokenizer_path):
+    import corpus_pipeline as p
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    table(EMPTY, "doc_id long, toxic int, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    nulls = table([(None, None, None, None, None)] * 2 + [(1, None, None, None, None)], schema)
+    for docs, kept in ((table(EMPTY, schema), 0), (nulls, 3)):
+        for _, stage in p.STAGES[:3]:  # without labels nothing is toxic; rows without an id stay
+            docs = stage(spark, docs, str(tmp_path))
+            assert docs.count() == kept
+        assert p.mix_to_weights(spark, docs, str(tmp_path)).count() == 0
+        assert p.pack_windows(spark, docs, str(tmp_path)).count() == kept
