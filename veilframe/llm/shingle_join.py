@@ -33,6 +33,8 @@ BLOCK_ENTRIES, LEAST_BLOCKS = 500_000, 64
 BLOCK_ROWS = 256
 #: Candidate rows up to which their ids are broadcast to fetch their texts; beyond, texts are shuffled.
 BROADCAST_ROWS = 200_000
+#: Bundles of this many columns or more count as any number.
+MOST_COLUMNS = (1 << 20) - 1
 _U = np.uint64
 
 
@@ -337,9 +339,14 @@ class ShingleJoin:
         met = left.join(right, (left.bundle == right.bundle) & (F.col("family") < F.col("family_")) & _compatible(n, m) & early & enough)
         pair = ["fp", "n", "fp_", "n_", "family", "part", "family_", "part_"]
         met = met.select(*pair).distinct()
-        # what the two rows really share of their prefixes, accumulated over all their columns
-        met = met.join(left.select("fp", "bundle", "shared"), "fp").join(left.select(F.col("fp").alias("fp_"), "bundle"), ["fp_", "bundle"])
-        met = met.groupBy(*pair).agg(F.sum("shared").alias("shared")).filter(F.col("shared") + beyond >= _needed(n, m))
+        # What the two rows really share of their prefixes. A row's bundles, no more than its own
+        # columns, travel as one array of codes that hold each bundle's number of columns.
+        code = F.col("bundle").bitwiseAND(~MOST_COLUMNS).bitwiseOR(F.least(F.col("shared"), F.lit(MOST_COLUMNS)))
+        lists = left.groupBy("fp").agg(F.collect_list(code).alias("codes"))
+        met = met.join(lists, "fp").join(lists.select(F.col("fp").alias("fp_"), F.col("codes").alias("codes_")), "fp_")
+        columns_of = lambda c: F.when(c.bitwiseAND(MOST_COLUMNS) == MOST_COLUMNS, F.lit(1 << 40)).otherwise(c.bitwiseAND(MOST_COLUMNS))
+        shared = F.aggregate(F.array_intersect("codes", "codes_"), F.lit(0).cast("long"), lambda t, c: t + columns_of(c))
+        met = met.filter(shared + beyond >= _needed(n, m))
         met = materialise(met.select(F.xxhash64("family", "part", "family_", "part_").alias("cell"), "fp", F.col("fp_").alias("other")), "met")
         members = met.select("cell", "fp").unionByName(met.select("cell", F.col("other").alias("fp"))).distinct().withColumn("side", F.lit(3))
         return materialise(inside.unionByName(self.multiply(members, met)), "links")
