@@ -420,6 +420,19 @@ def test_pseudonyms(table):
     assert back == PERSONAL
 
 
+DATES = ["25/12/2019", "31/12/1999", "12.31.1999", "25-12-2019", "12-25-2019", "05-06-2019", "2019/12/25", "2019.12.25", "12/31/1999", "31.12.1999"]
+
+
+def test_pseudonyms_of_dates_in_either_order():
+    f = pseudonyms.Feistel()
+    for date in [*DATES, *(f"{d}/{m:02d}/20{d}" for d in range(13, 29) for m in range(1, 13))]:
+        new, n = pseudonyms.pseudonymise(f"le {date}, ", f)
+        assert n == {"date": 1} and date not in new and pseudonyms.pseudonymise(new, f, back=True)[0] == f"le {date}, "
+        assert re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", f"le {date}, ")
+    for clean in ("32/12/2019", "25/13/2019", "2019/13/25", "31-06-2019", "1-25-12-2019", "2019.12.25.1"):
+        assert pseudonyms.pseudonymise(clean, f) == (clean, {})
+
+
 # --- the pipeline ------------------------------------------------------------------------------------------------------------
 
 

@@ -156,20 +156,32 @@ def _iban(f: Feistel, text: str, back: bool) -> str | None:
 
 
 def _date(f: Feistel, text: str, back: bool) -> str | None:
-    """Year first, or day or month before the year; where both fit, the day is taken to come first after dots, the month after slashes."""
+    """Year first, or day or month before the year; where both fit, the month is taken to come first after slashes, the day after other marks.
+
+    What fits the other order only is permuted among the dates of which that is true, so that it can be told apart again.
+    """
     mark = re.search(r"[^0-9]", text)[0]
     a, b, c = text.split(mark)
-    y, m, d = (a, b, c) if len(a) == 4 else (c, b, a) if mark == "." else (c, a, b)
-    try:
-        day = datetime.date(int(y), int(m), int(d)).toordinal() - _FIRST_DAY
-    except ValueError:
+    orders = ["ymd"] if len(a) == 4 else ["mdy", "dmy"] if mark == "/" else ["dmy", "mdy"]
+    for order in orders:
+        of = dict(zip(order, (a, b, c), strict=True))
+        try:
+            day = datetime.date(int(of["y"]), int(of["m"]), int(of["d"])).toordinal() - _FIRST_DAY
+        except ValueError:
+            continue
+        break
+    else:
         return None
     if not 0 <= day < _DAYS:
         return None
     # how the numbers are padded is part of the format only where the year comes first
-    new = datetime.date.fromordinal(_FIRST_DAY + f.permute(day, _DAYS, "date", back))
-    parts = (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}")
-    return mark.join(parts if len(a) == 4 else (parts[2], parts[1], parts[0]) if mark == "." else (parts[1], parts[2], parts[0]))
+    at = lambda v: datetime.date.fromordinal(_FIRST_DAY + v)
+    if order == orders[0]:
+        new = at(f.permute(day, _DAYS, "date", back))
+    else:
+        new = at(f.permute(day, _DAYS, "date" + order, back, lambda v: at(v).day > 12))
+    parts = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+    return mark.join(parts[x] for x in order)
 
 
 _MAKE = {"phone": _phone, "card": _card, "ip": _ip, "ssn": _ssn, "iban": _iban, "date": _date}
@@ -182,7 +194,8 @@ _NUMBERS = re.compile(
     | (?P<card>[0-9]{13,19}(?![0-9]) | [0-9]{4}([ -])[0-9]{4}\4[0-9]{4}\4[0-9]{4}(?![0-9]) | [0-9]{4}([ -])[0-9]{6}\5[0-9]{5}(?![0-9]))
     | (?P<ip>(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))
     | (?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9]))
-    | (?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9]) | [0-9]{1,2}(?P<mark>[./])[0-9]{1,2}(?P=mark)[0-9]{4}(?![0-9]))
+    | (?P<date>[0-9]{4}(?P<first>[-/.])[0-9]{2}(?P=first)[0-9]{2}(?![0-9]|[-.][0-9])
+        | [0-9]{1,2}(?P<mark>[./])[0-9]{1,2}(?P=mark)[0-9]{4}(?![0-9]) | (?<![0-9]-)[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}(?![0-9]|-[0-9]))
     )""",
     re.X | re.A,
 )
