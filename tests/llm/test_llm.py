@@ -433,6 +433,19 @@ def test_pseudonyms_of_dates_in_either_order():
         assert pseudonyms.pseudonymise(clean, f) == (clean, {})
 
 
+def test_pseudonyms_of_ibans_before_other_words():
+    f = pseudonyms.Feistel()
+    good = ["ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "BE68 5390 0754 7034", "SE4550000000058398257466", "PL61109010140000071219812874", "NO93 8601 1117 947", "DE89370400440532013000"]
+    for iban in good:
+        for tail in (" EUR", " BIC", " 2024", " PAGADO", " A", ", ", " and", ""):
+            new, n = pseudonyms.pseudonymise(f"IBAN {iban}{tail}", f)
+            assert n == {"iban": 1} and iban not in new and new.endswith(tail) and pseudonyms.pseudonymise(new, f, back=True)[0] == f"IBAN {iban}{tail}"
+    assert pseudonyms.pseudonymise("AT611904300234573201 2024-02-29", f)[1] == {"iban": 1, "date": 1}
+    assert pseudonyms.pseudonymise("NR12 4111 1111 1111 1111", f)[1] == {"card": 1}
+    for clean in ("ES92 2100 0418 4502 0005 1332 EUR", "AT6119043002345732012024"):
+        assert pseudonyms.pseudonymise(clean, f) == (clean, {})
+
+
 # --- the pipeline ------------------------------------------------------------------------------------------------------------
 
 

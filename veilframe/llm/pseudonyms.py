@@ -24,6 +24,17 @@ from veilframe.llm.words import groups
 ROUNDS = 10
 KEY = b"veilframe: replace by a secret of your own"
 KINDS = ["email", "phone", "card", "ip", "ssn", "iban", "date"]
+#: Characters of an IBAN by country, from the SWIFT registry.
+IBAN_LENGTHS = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+        31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # to the end of 2099
 _ALPHABETS = [
     "0123456789",
@@ -137,6 +148,21 @@ def _iban_check(country: str, account: str) -> int:
     return 98 - int("".join(str(int(c, 36)) for c in account + country + "00")) % 97
 
 
+def _iban_end(text: str, start: int, end: int) -> int | None:
+    """Where the IBAN ends that starts a match: a match may go on into the next words. None if its check digits are wrong.
+
+    The country says how long it is; one of a country without a known length, or shorter than that, is the whole match.
+    """
+    spots = [i for i in range(start, end) if text[i] != " "]
+    n = IBAN_LENGTHS.get(text[start : start + 2], len(spots))
+    if n < len(spots):
+        end = spots[n - 1] + 1
+        if text[end].isascii() and text[end].isalnum():
+            return None
+    bare = text[start:end].replace(" ", "")
+    return end if 15 <= len(bare) <= 34 and _iban_check(bare[:2], bare[4:]) == int(bare[2:4]) else None
+
+
 def _iban(f: Feistel, text: str, back: bool) -> str | None:
     """Digits and letters of the account are permuted, the check digits follow."""
     bare = text.replace(" ", "")
@@ -204,7 +230,7 @@ _DOMAIN = re.compile(r"@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}")
 
 
 def find(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of what looks like personal data, before it is validated; e-mail addresses come first where kinds overlap."""
+    """(start, end, kind) of what looks like personal data, before any but IBANs are validated; e-mail addresses come first where kinds overlap."""
     spans = []
     at = text.find("@")
     while at >= 0:
@@ -212,10 +238,13 @@ def find(text: str) -> list[tuple[int, int, str]]:
         if local and domain and (not spans or local.start() >= spans[-1][1]):
             spans.append((local.start(), domain.end(), "email"))
         at = text.find("@", at + 1)
-    for m in _NUMBERS.finditer(text):
+    emails, at = list(spans), 0
+    while m := _NUMBERS.search(text, at):
         kind = next(k for k in _MAKE if m[k] is not None)
-        if not any(a < m.end() and m.start() < b for a, b, k in spans if k == "email"):
-            spans.append((m.start(), m.end(), kind))
+        end = _iban_end(text, *m.span()) if kind == "iban" else m.end()
+        at = end or m.start() + 1  # behind the letters of a wrong IBAN there may be another number
+        if end and not any(a < end and m.start() < b for a, b, _ in emails):
+            spans.append((m.start(), end, kind))
     return sorted(spans)
 
 
