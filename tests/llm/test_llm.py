@@ -95,6 +95,41 @@ def test_secrets(spark, table):
     assert secrets.scan(table(EMPTY, DOCS)).count() == 0
 
 
+UPPER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+NAMES = "get user name order list find by account page total build factory service handler manager config update status remote client session value index table column widget parse json message queue async result data".split()
+
+
+def ordinary_token(rng, kind):
+    while True:
+        own = rng.sample(NAMES, rng.randint(3, 8))
+        t = {
+            "camel": "".join(map(str.capitalize, own)) + rng.choice(["", "2", "V2", "64"]),
+            "path": "/".join(w if rng.random() < 0.7 else w.capitalize() for w in own) + rng.choice(["2", "10"]),
+            "kebab": "-".join(own) + rng.choice(["2", "V10"]),
+            "upper": "".join(own).upper() + rng.choice(["2", "23", "7"]),
+            "serial": "".join(rng.choice(DIGITS) for _ in range(rng.randint(10, 22))) + rng.choice("ABCDEF") + "".join(rng.choice(DIGITS) for _ in range(rng.randint(9, 22))),
+        }[kind]
+        if 20 <= len(t) <= 45:
+            return t
+
+
+PLANTED = [("0123456789ABCDEF", 32), ("0123456789ABCDEF", 40), (UPPER + "234567", 32), *[(UPPER + UPPER.lower() + DIGITS + x, n) for x in ("", "+/") for n in (20, 24, 31)]]
+
+
+def test_secrets_of_every_encoding_and_length(table):
+    rng = random.Random(4)
+    plant = lambda of, n: "".join(rng.choice(of) for _ in range(n))
+    rows = [("planted", i, plant(*of)) for i, of in enumerate(PLANTED) for _ in range(60)]
+    rows += [("ordinary", k, ordinary_token(rng, kind)) for k, kind in enumerate(("camel", "path", "kebab", "upper", "serial")) for _ in range(600)]
+    docs = [(i, f"see {t} there") for i, (_, _, t) in enumerate(rows)]
+    for some in (rows, rows[: 60 * len(PLANTED)]):  # among many ordinary tokens, and without any
+        hit = Counter(some[r.doc_id][:2] for r in secrets.scan(table(docs[: len(some)], DOCS)).collect() if any(s.kind == "random" for s in r.spans))
+        least = [hit["planted", i] for i in range(len(PLANTED))]
+        assert min(least) >= 15 and sum(least) >= 0.7 * 60 * len(PLANTED), least
+        assert sum(n for (kind, _), n in hit.items() if kind == "ordinary") <= 0.02 * sum(hit.values()), hit
+    assert sum(bool(r.spans) for r in secrets.scan(table(docs[60 * len(PLANTED) :], DOCS)).collect()) <= 3
+
+
 def test_secret_digest(spark):
     spans = F.array(F.struct(F.lit("hex").alias("kind"), F.lit(3).alias("start"), F.lit(40).alias("end")))
     assert spark.range(1).select(F.sha2(secrets.digest(spans), 256)).first()[0] == hashlib.sha256(b"hex:3:40").hexdigest()

@@ -1,20 +1,24 @@
 """Secret scans: known shapes by pattern, and unknown ones by a battery of randomness tests.
 
 Patterns find assignments, access keys and long hexadecimal runs. The method then looks at the
-other long tokens. Each is given the smallest encoding whose alphabet holds it, and three
-statistics that are standard normal for random tokens of its length: the chi-squared uniformity
-of its symbols, the number of runs of symbols above and below the alphabet's middle, and the
-serial correlation of neighbouring symbols. The null hypothesis is an ordinary token: natural
-language and identifiers miss the three targets by an amount that grows with length, so the
-p-value asks how likely such a token is to come as near to random as this one does. A short token
-can't get a small p-value, whatever it holds. Benjamini-Hochberg holds the share of false
-discoveries down within each class of encoding and length. All of it is DataFrame expressions.
+other long tokens. Each is given the smallest encoding whose alphabet holds it, and five
+statistics that are near standard normal for random tokens of its length: the chi-squared uniformity
+of its symbols, the number of runs of symbols above and below the alphabet's middle, the
+serial correlation of neighbouring symbols, the shares of digits, capitals, small letters and marks,
+and how often these change. The null hypothesis is an ordinary token: natural language and
+identifiers miss the targets by an amount that grows with length. How far is first set by NATURAL,
+then fitted to the tokens of that encoding and length in the table, less the part that random tokens
+explain; the p-value is the greater one of both. Benjamini-Hochberg holds the share of false
+discoveries down within each class of encoding and length. The main path is DataFrame expressions.
 """
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,20 +29,25 @@ KEYWORD = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 #: A run of 32 or more begins where no run goes on, so only there is it looked for.
 BASE = {"assign": (KEYWORD, 2, 8), "access": (r"AKIA[A-Z0-9]+", 0, 16), "hex": (r"(?<![0-9a-f])[0-9a-f]{32,}", 0, 32)}
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
-#: Encodings, the smallest first: characters in order of their values, and how far natural tokens are from uniform, per symbol:
-#: the excess of chi-squared, and the shortfall of runs and of correlation in standard deviations per root of length.
+#: Encodings, the smallest first: characters in order of their values, and how far natural tokens are from random, per symbol:
+#: the excess of chi-squared, and what the classes of symbols add.
 ENCODINGS = {
-    "hex": ("0123456789abcdef", 0.60),
-    "HEX": ("0123456789ABCDEF", 0.60),
-    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.95),
-    "base62": ("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 2.6),
-    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 2.6),
-    "base64url": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", 2.6),
-    "mixed": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_", 2.6),
+    "hex": ("0123456789abcdef", 0.60, 1.0),
+    "HEX": ("0123456789ABCDEF", 0.60, 1.0),
+    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.95, 0.0),
+    "base62": ("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 2.0, 0.35),
+    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 2.0, 0.35),
+    "base64url": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", 2.0, 0.35),
+    "mixed": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_", 2.0, 0.35),
 }
+CLASSES = ("[0-9]", "[A-Z]", "[a-z]", "[+/_-]")
 FALSE_DISCOVERIES = 0.01
-#: p-values are counted by tenths of their negative decimal logarithm, up to this many.
-CELLS = 400
+#: Natural tokens: the standard deviation of the logarithm of a departure's root, and as how many tokens it counts in the fit.
+NATURAL, PRIOR = 0.22, 20
+#: Random tokens of 20 to 100 characters: quantiles of the root of the departure.
+RANDOM = ((0.05, 0.0), (0.6, 0.01), (1.2, 0.1), (1.6, 0.25), (2.1, 0.5), (2.65, 0.75), (3.3, 0.9), (3.75, 0.95), (4.7, 0.99), (5.6, 0.999), (8.0, 1.0))
+#: Logarithms of roots are counted in cells of this width, lengths in this many classes for each power of two.
+CELL, CELLS, FINE = 0.02, 500, 8
 _INNER = 256
 
 
@@ -70,14 +79,20 @@ def find_all(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(F.rlike(text, p), placed).otherwise(F.array().cast("array<struct<start:int,end:int,part:int>>"))
 
 
-def _battery(token: Column, alphabet: str, excess: float) -> Column:
-    """-log10 of the p-value that an ordinary token comes this near to random."""
+def _battery(token: Column, alphabet: str) -> Column:
+    """How far a token departs from random: the sum of the squares of its statistics."""
     k, n = float(len(alphabet)), F.char_length(token).cast("double")
     values = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(alphabet), c).cast("double") - 1)
     values = F.filter(values, lambda v: v >= 0)
     squares = F.aggregate(F.array(*[F.lit(c) for c in alphabet]), F.lit(0.0), lambda s, c: s + F.pow(n - F.char_length(F.replace(token, c)), F.lit(2.0)))
     chi = squares * k / n - n
     z_chi = (chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
+    shares = [sum(re.fullmatch(c, x) is not None for x in alphabet) / k for c in CLASSES]
+    counts = [(F.regexp_count(token, F.lit(c)).cast("double"), q) for c, q in zip(CLASSES, shares, strict=True) if q]
+    classes = sum((F.pow(c - n * q, F.lit(2.0)) / (n * q) for c, q in counts), F.lit(0.0))
+    same, thrice = sum(q**2 for q in shares), sum(q**3 for q in shares)
+    changes = F.regexp_count(token, F.lit("|".join(f"{c}+" for c in CLASSES))).cast("double") - 1
+    z_changes = (changes - (n - 1) * (1 - same)) / F.sqrt((n - 1) * (same * (1 - same)) + (n - 2) * (2 * (thrice - same**2)))
     middle = (k - 1) / 2
     folding = F.aggregate(
         values,
@@ -99,18 +114,13 @@ def _battery(token: Column, alphabet: str, excess: float) -> Column:
         around = folded.s2 / n - F.pow(folded.s / n, F.lit(2.0))
         serial = (folded.lag + folded["last"] * folded["first"]) / n - F.pow(folded.s / n, F.lit(2.0))
         z_serial = F.when(around > 0, (serial / around + 1 / (n - 1)) * F.sqrt(n)).otherwise(F.sqrt(n))
-        # sum of three squared normals for random tokens; for ordinary ones the first is moved by what grows with length
-        departure = F.pow(F.greatest(z_chi, F.lit(0.0)), F.lit(2.0)) + F.pow(z_runs, F.lit(2.0)) + F.pow(z_serial, F.lit(2.0))
-        moved = F.pow(n * excess / F.sqrt(F.lit(2 * (k - 1))), F.lit(2.0))
-        z = (departure - (3 + moved)) / F.sqrt(2 * (3 + 2 * moved))
-        # lower tail of the normal, by its bound exp(-z^2 / 2) / 2
-        return F.when(z < 0, z * z / 2 / F.log(F.lit(10.0)) + 0.30103).otherwise(0.0)
+        return F.pow(F.greatest(z_chi, F.lit(0.0)), F.lit(2.0)) + F.pow(z_runs, F.lit(2.0)) + F.pow(z_serial, F.lit(2.0)) + classes + F.pow(z_changes, F.lit(2.0))
 
     return let(folding, judge)
 
 
 def _candidates(text: Column, found: Column, taken: Column) -> Column:
-    """Of found tokens, those outside base spans: (start, end, encoding, length class, cell of the p-value).
+    """Of found tokens, those outside base spans: (start, end, encoding, length class, cell of the departure).
 
     A token that is one case of letters only, or digits only, is a word or a number and is no candidate.
     """
@@ -121,35 +131,72 @@ def _candidates(text: Column, found: Column, taken: Column) -> Column:
     def judged(c):
         fits = lambda a: F.translate(c.token, a, "") == ""
         code, score = None, None
-        for i, (alphabet, excess) in enumerate(ENCODINGS.values()):
-            here, p = fits(alphabet), _battery(c.token, alphabet, excess)
+        for i, (alphabet, *_) in enumerate(ENCODINGS.values()):
+            here, departure = fits(alphabet), _battery(c.token, alphabet)
             code = F.when(here, i) if code is None else code.when(here, i)
-            score = F.when(here, p) if score is None else score.when(here, p)
-        length = F.floor(F.log2(F.char_length(c.token))).cast("int")
-        return F.struct(c.start.alias("start"), c.end.alias("end"), code.alias("encoding"), length.alias("length"), F.least(F.floor(score * 10), F.lit(CELLS)).cast("int").alias("cell"))
+            score = F.when(here, departure) if score is None else score.when(here, departure)
+        length = F.floor(F.log2(F.char_length(c.token)) * FINE + 1e-9).cast("int")
+        cell = F.floor(F.log(F.greatest(score, F.lit(0.01))) / (2 * CELL))
+        return F.struct(c.start.alias("start"), c.end.alias("end"), code.alias("encoding"), length.alias("length"), F.least(cell, F.lit(CELLS)).cast("int").alias("cell"))
 
     none = F.array().cast("array<struct<start:int,end:int,encoding:int,length:int,cell:int>>")
     return F.when(F.size(found) > 0, F.transform(mixed, judged)).otherwise(none)
 
 
+def _natural(encoding: int, length: int) -> float:
+    """Logarithm of the root of a natural token's departure, for the shortest of its length class."""
+    alphabet, excess, classes = list(ENCODINGS.values())[encoding]
+    n = math.ceil(2 ** (length / FINE) - 1e-9)
+    return math.log(3 + n * classes + (n * excess) ** 2 / (2 * (len(alphabet) - 1))) / 2
+
+
+def _lower(z: np.ndarray) -> np.ndarray:
+    return np.array([math.erfc(-x / math.sqrt(2)) / 2 for x in z])
+
+
+def _p_values(natural: np.ndarray, cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The p-value of each cell of a class: how likely an ordinary token comes as near to random.
+
+    Ordinary tokens are normal around natural, or around what expectation-maximisation finds for the
+    tokens of the table when it mixes a normal with random tokens, whichever says the token is likelier.
+    """
+    high = (cells + 1) * CELL
+    x = high - CELL / 2 - natural
+    roots, shares = np.log([r for r, _ in RANDOM]), [q for _, q in RANDOM]
+    random = np.maximum(np.interp(high, roots, shares) - np.interp(high - CELL, roots, shares), 1e-9)
+    mean, spread, part = 0.0, NATURAL, 0.5
+    for _ in range(200):
+        ordinary = (1 - part) * CELL * np.exp(-(((x - mean) / spread) ** 2) / 2) / (spread * math.sqrt(2 * math.pi))
+        own = counts * ordinary / np.maximum(ordinary + part * random, 1e-300)
+        mean = (own @ x) / (own.sum() + PRIOR)
+        spread = math.sqrt((own @ (x - mean) ** 2 + PRIOR * (NATURAL**2 + mean**2)) / (own.sum() + PRIOR))
+        part = (counts.sum() - own.sum() + 1) / (counts.sum() + 2)
+    return np.maximum(_lower((high - natural) / NATURAL), _lower((high - natural - mean) / spread))
+
+
 def _thresholds(scanned: DataFrame, rate: float) -> dict[tuple[int, int], int]:
-    """Least cell that is a discovery, for each class of encoding and length.
+    """Greatest cell that is a discovery, for each encoding and length class.
 
-    Benjamini-Hochberg over counts: the classes (encodings times powers of two) and cells are few
+    Benjamini-Hochberg over counts, for each encoding and power of two: the classes and cells are few
     whatever the data, so the counts go to the driver.
     """
-    counts: dict[tuple[int, int], dict[int, int]] = {}
+    found: dict[tuple[int, int], list] = {}
     rows = scanned.select(F.explode("candidates").alias("c")).groupBy("c.encoding", "c.length", "c.cell").count()
     for r in rows.collect():
-        counts.setdefault((r.encoding, r.length), {})[r.cell] = r["count"]
-    least = {}
-    for key, cells in counts.items():
-        total, above = sum(cells.values()), 0
-        for cell in sorted(cells, reverse=True):
-            above += cells[cell]
-            if 10 ** (-cell / 10) * total <= rate * above:
-                least[key] = cell
-    return least
+        found.setdefault((r.encoding, r.length // FINE), []).append((r.length, r.cell, r["count"]))
+    greatest: dict[tuple[int, int], int] = {}
+    for (encoding, _), cells in found.items():
+        length, cell, count = np.array(sorted(cells)).T
+        p = _p_values(np.array([_natural(encoding, n) for n in length.tolist()]), cell, count)
+        order = np.argsort(p, kind="stable")
+        # tokens of equal p-values are discovered together
+        below = np.cumsum(count[order])[np.searchsorted(p[order], p[order], side="right") - 1]
+        good = p[order] * count.sum() <= rate * below
+        if good.any():
+            for n, c, x in zip(length.tolist(), cell.tolist(), p.tolist(), strict=True):
+                if x <= p[order][good].max():
+                    greatest[encoding, n] = max(c, greatest.get((encoding, n), c))
+    return greatest
 
 
 def scan(docs: DataFrame, *, keep: tuple[str, ...] = (), false_discoveries: float = FALSE_DISCOVERIES) -> DataFrame:
@@ -161,11 +208,11 @@ def scan(docs: DataFrame, *, keep: tuple[str, ...] = (), false_discoveries: floa
     class, over the whole table, sets how small a p-value must be, so a result depends on all rows.
     """
     scanned = materialise(_scanned(docs, ()), "scanned")
-    least = _thresholds(scanned, false_discoveries)
+    greatest = _thresholds(scanned, false_discoveries)
     passes = lambda c: F.lit(False)
-    if least:
-        table = F.create_map(*[F.lit(x) for (e, n), cell in least.items() for x in (e * 100 + n, cell)])
-        passes = lambda c: F.coalesce(c.cell >= F.try_element_at(table, c.encoding * 100 + c.length), F.lit(False))
+    if greatest:
+        table = F.create_map(*[F.lit(x) for (e, n), cell in greatest.items() for x in (e * 1000 + n, cell)])
+        passes = lambda c: F.coalesce(c.cell <= F.try_element_at(table, c.encoding * 1000 + c.length), F.lit(False))
     labelled = [_ranked(F.col(f"_{kind}"), i) for i, kind in enumerate(BASE)]
     random = _ranked(F.filter("candidates", passes), len(BASE))
     kinds = F.array(*[F.lit(k) for k in (*BASE, "random")])
