@@ -205,6 +205,14 @@ def test_link_vectors(table, block):
     assert [(r.n_links, r.component_id) for r in got if r.vec_id is None] == [(0, None)]
 
 
+def test_link_vectors_of_each_length(table):
+    a, b = [1.0] + [0.0] * 7, [0.0] * 7 + [2.0]
+    vectors = [a, b, a, [1.0, 0.01] + [0.0] * 6, b + [0.0], b + [1.0], a + [None], [0.0] * 12, a[:3], [3.0, 0.0, 0.1], [5.0]]
+    got = embedding_join.link_vectors(table(list(enumerate(vectors)), "vec_id long, embedding array<double>")).collect()
+    links = {0: (2, 0), 2: (2, 0), 3: (2, 0), 8: (1, 8), 9: (1, 8)}
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: links.get(i, (0, i)) for i in range(len(vectors))} and len(got) == len(vectors)
+
+
 def test_link_vectors_empty(table):
     assert embedding_join.link_vectors(table(EMPTY, "vec_id long, embedding array<float>")).count() == 0
     assert [tuple(r) for r in embedding_join.link_vectors(table([(1, None)], "vec_id long, embedding array<float>")).collect()] == [(1, 0, 1)]

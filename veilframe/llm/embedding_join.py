@@ -96,29 +96,38 @@ def link_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "e
     """vec_id, n_links and component_id of every row.
 
     n_links counts the other rows whose cosine with the row is at least cosine, computed in double
-    precision; component_id is the least vec_id reachable by links. Rows link with nothing if their
-    vector is null, zero, holds a null or a non-finite number, or is shorter or longer than the
-    longest, or if their id is null (component null). Equal vectors are compared once and count as
-    often as they occur. Other columns are not looked at; an empty table gives an empty result.
+    precision; component_id is the least vec_id reachable by links. Vectors of different lengths have no
+    cosine: each length is joined by itself, one after another. Rows link with nothing if their vector is
+    null, zero, holds a null or a non-finite number, or if their id is null (component null). Equal vectors
+    are compared once and count as often as they occur. Other columns are not looked at; an empty table
+    gives an empty result.
     """
-    spark = vectors.sparkSession
     x = F.col(vector).cast("array<double>")
     given = vectors.select(F.col(vec_id).alias("vec_id"), x.alias("x"))
-    dim = given.agg(F.max(F.size("x"))).first()[0] or 0
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0)
-    usable = given.filter((F.size("x") == dim) & finite & F.col("vec_id").isNotNull())
+    usable = F.coalesce(finite & F.col("vec_id").isNotNull(), F.lit(False))
+    lengths = {r.dim: r["count"] for r in given.filter(usable).groupBy(F.size("x").alias("dim")).count().collect()}
+    joined = sorted(dim for dim, rows in lengths.items() if rows > 1)
+    linked = [_link_length(given.filter(usable & (F.size("x") == dim)), dim, cosine, block) for dim in joined]
+    # what no other row can be compared with
+    alone = given.filter(~(usable & F.size("x").isin(joined))) if joined else given
+    alone = alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for one in linked:
+        alone = one.unionByName(alone)
+    return alone
+
+
+def _link_length(usable: DataFrame, dim: int, cosine: float, block: int) -> DataFrame:
+    """link_vectors() for rows (vec_id, x), at least two, whose vectors are usable and of length dim."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             flat = np.asarray(b.column(1).flatten(), dtype=np.float64).reshape(-1, dim)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in flat], pa.binary())], ["vec_id", "v"])
 
-    rows = usable.mapInArrow(packed, "vec_id long, v binary") if dim else spark.createDataFrame([], "vec_id long, v binary")
-    rows = materialise(rows, "vectors")
+    rows = materialise(usable.mapInArrow(packed, "vec_id long, v binary"), "vectors")
     kinds = materialise(rows.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("times")), "kinds")
     count = kinds.count()
-    if not count:
-        return given.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     epsilon, axes = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-9, _axes(kinds, dim)
     k = min(AXES, dim)
     grid = max(epsilon, 1e-6)
@@ -185,9 +194,7 @@ def link_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "e
     links = materialise(copies.groupBy("low", "high").applyInPandas(joined, "rep long, links long, root long"), "links")
     components = connected_components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     of_kind = kinds.select("v", "rep", "times").join(links.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left").join(components.withColumnRenamed("node", "rep"), "rep", "left")
-    linked = rows.join(of_kind, "v").select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    alone = given.filter(~F.coalesce((F.size("x") == dim) & finite & F.col("vec_id").isNotNull(), F.lit(False)))
-    return linked.unionByName(alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
+    return rows.join(of_kind, "v").select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
 
 
 def op3_embedding_join(spark, sf_dir):
