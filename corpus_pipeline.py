@@ -36,9 +36,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least doc_id, and all that link with nothing.
 
-    Of rows that repeat an id one stays, the one whose text hashes least. Rows without an id stay.
+    Rows that repeat an id are judged each by its own text; of those of one id and component one
+    stays, the one whose text hashes least. Rows without an id stay.
     """
-    linked = shingle_join.join_shingles(docs)
+    linked = shingle_join.link_rows(docs)
     gone = materialise(linked.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
     kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
     again = linked.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
@@ -46,8 +47,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if not (repeated := again.count()):
         return kept
     again = F.broadcast(again) if repeated <= BROADCAST_IDS else again
-    place = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    first = _with_row(kept.join(again, "doc_id", "left_semi")).withColumn("__n", F.row_number().over(place)).filter("__n = 1")
+    place = F.xxhash64("text").alias("place")
+    rows = _with_row(docs.join(again, "doc_id", "left_semi").select(*docs.columns)).select("doc_id", "text", ROW, place)
+    own = shingle_join.fingerprints(rows.select("doc_id", "place", "text").dropDuplicates(["doc_id", "place"]))
+    components = linked.join(again, "doc_id", "left_semi").select("doc_id", "fp", "component", "component_id").distinct()
+    own = own.alias("o").join(components.alias("c"), F.expr("o.doc_id = c.doc_id AND o.fp <=> c.fp")).filter("c.component_id = c.doc_id")
+    rows = rows.join(own.select("o.doc_id", "o.place", "c.component"), ["doc_id", "place"])
+    first = rows.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "component").orderBy("place"))).filter("__n = 1")
     return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(_rows(first, docs))
 
 

@@ -517,6 +517,16 @@ def test_pipeline(spark, table, tmp_path, tokenizer_path):
     assert Counter(r.doc_id for r in packed if r.start == 0) == ids("mixing")
 
 
+def test_near_copies_are_dropped_by_row(spark, table, tmp_path):
+    import corpus_pipeline as p
+
+    rng = random.Random(9)
+    a, b, c, d, e = (" ".join(f"w{rng.randint(0, 999)}" for _ in range(60)) for _ in range(5))
+    rows = [(1, a), (5, a + " tail"), (5, b), (6, c), (6, d), (6, d.upper()), (7, e), (7, e), (8, None), (8, None), (None, a)]
+    got = p.drop_near_copies(spark, table(rows, DOCS).withColumn("place", F.lit("x")), str(tmp_path)).collect()
+    assert Counter((r.doc_id, (r.text or "").lower()) for r in got) == Counter([(1, a), (5, b), (6, c), (6, d), (7, e), (8, ""), (None, a)])
+
+
 def test_labels_of_the_held_out_fold_are_not_learnt(table):
     rows = [(i, f"w{i}") for i in range(200)]
     seen = labelled.fit_on_sample(table(rows, DOCS), table([(i, i % 2) for i in range(200)], "doc_id long, toxic int"), "toxic", lambda t, y, w: sorted(t))

@@ -352,6 +352,30 @@ class ShingleJoin:
         return materialise(inside.unionByName(self.multiply(members, met)), "links")
 
 
+def fingerprints(rows: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, place and fp, the fingerprint of the set (null where it is empty), of rows (doc_id, place, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = [_fingerprint(s) if len(s) else None for sets in _sets(b.column(2), words) for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())], ["doc_id", "place", "fp"])
+
+    small_batches(rows.sparkSession)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "place", "text").mapInArrow(run, f"doc_id {kind}, place long, fp long")
+
+
+def link_rows(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
+    """join_shingles() with fp, the fingerprint of the row's set, and component, the least one reachable by links; both null without shingles."""
+    join = ShingleJoin(docs, words)
+    components = connected_components(join.links()).withColumnRenamed("node", "fp")
+    named = join.kinds.join(components, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_kind = named.join(least, "component").select("fp", "component", "component_id")
+    linked = join.rows.join(of_kind, "fp", "left")
+    return linked.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "fp", "component")
+
+
 def join_shingles(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs (doc_id, text).
 
@@ -360,16 +384,10 @@ def join_shingles(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
     least OVER / UNDER of their union; component_id is the least doc_id reachable by links. Null texts and
     texts without words have no shingles and link with nothing; equal texts link; a null doc_id
     links with nothing and has a null component. Rows that repeat an id are compared each with its
-    own text; as one id, they share the least component. Other columns are not looked at; an empty table gives an
+    own text, and each has the component of its own. Other columns are not looked at; an empty table gives an
     empty result.
     """
-    join = ShingleJoin(docs, words)
-    components = connected_components(join.links()).withColumnRenamed("node", "fp")
-    named = join.kinds.join(components, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_kind = named.join(least, "component").select("fp", "component_id")
-    linked = join.rows.join(of_kind, "fp", "left")
-    return linked.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return link_rows(docs, words=words).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_shingle_join(spark, sf_dir):
