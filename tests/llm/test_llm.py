@@ -148,7 +148,8 @@ def brute_links(ids, texts):
     return [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if (x := len(sets[i] & sets[j])) and 100 * x >= 75 * len(sets[i] | sets[j])], [len(s) for s in sets]
 
 
-def test_shingle_join(table, monkeypatch):
+@pytest.mark.parametrize("bits", [64, 4])
+def test_shingle_join(table, monkeypatch, bits):
     rng = random.Random(5)
     vocabulary, texts = [f"w{i}" for i in range(2000)], []
     for _ in range(15):
@@ -161,12 +162,21 @@ def test_shingle_join(table, monkeypatch):
     passage = " ".join(rng.choice(vocabulary) for _ in range(60))
     texts += [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 50))) + " " + passage for _ in range(80)]
     texts += [None, "", "  ", "a", "A", "a b c d", "A B C D", "x" * 5000] * 2
+    chain = [rng.choice(vocabulary) for _ in range(400)]
+    texts += [" ".join(chain[i : i + 60]) for i in range(0, 340, 5)]  # each links with the next one only
+    close = [[rng.choice(vocabulary) for _ in range(40)] for _ in range(2)]
+    for _ in range(60):  # near the bound: some link, most do not
+        own = list(close[0])
+        at = rng.randrange(36)
+        own[at : at + rng.randint(1, 6)] = close[1][at : at + 4]
+        texts.append(" ".join(own))
     ids = list(range(100, 100 + len(texts)))
     rng.shuffle(ids)
     links, sizes = brute_links(ids, texts)
     want = components(ids, links)
     monkeypatch.setattr(shingle_join, "BLOCK_ROWS", 16)
-    got = shingle_join.join_shingles(table([(i, t, "x") for i, t in zip(ids, texts, strict=True)], DOCS + ", fp string").repartition(3)).collect()
+    got = shingle_join.join_shingles(table([(i, t, "x") for i, t in zip(ids, texts, strict=True)], DOCS + ", fp string").repartition(3)) if bits == 64 else shingle_join.link_rows(table(list(zip(ids, texts, strict=True)), DOCS), bits=bits)
+    got = got.collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (n, want[i]) for i, n in zip(ids, sizes, strict=True)}
 
 

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.shared import materialise
+from veilframe.llm.shared import join_hot, materialise, passing
 
 
-def _with_least(edges: DataFrame) -> DataFrame:
-    """Edges (a, b) with m, the least b of a. Sums are formed before rows move; a hot a is a skewed join, which Spark splits."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    return edges.join(least, "a")
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """Edges (a, b) with m, the least b of a. Sums are formed before rows move, and a hot a is not gathered."""
+    return join_hot(edges, edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "a", "n", total).drop("n")
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -19,23 +18,29 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star contraction: each node's greater neighbours, then its smaller
     ones, are linked to its least neighbour, until every component is a star around its least node.
-    Every round is written to the shared folder. Self-links count as nodes alone; rows with a null
-    are left out; repeated links do no harm.
+    Every round is written to the shared folder, and deleted when its successor is there. Self-links
+    count as nodes alone; rows with a null are left out; repeated links do no harm.
     """
-    links = links.filter("a IS NOT NULL AND b IS NOT NULL").select("a", "b")
-    edges = materialise(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _with_least(both).filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
-        small = _with_least(large)
-        small = small.select("b", "m").unionByName(small.select(F.col("a").alias("b"), "m")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        edges = materialise(small, "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    members = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    alone = links.filter("a = b").select(F.col("a").alias("node"), F.col("b").alias("component"))
-    roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component"))
-    return members.unionByName(roots).unionByName(alone).groupBy("node").agg(F.min("component").alias("component"))
+    with passing() as keep:
+        links = materialise(links.filter("a IS NOT NULL AND b IS NOT NULL").select("a", "b"), "given")
+        edges = _round(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        while True:
+            table, state, total = edges
+            both = table.unionByName(table.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            large = _with_least(both, 2 * total).filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+            small = _with_least(materialise(large, "large"), total)
+            small = small.select("b", "m").unionByName(small.select(F.col("a").alias("b"), "m")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            edges = _round(small)
+            if edges[1] == state:
+                break
+        members = edges[0].select(F.col("a").alias("node"), F.col("b").alias("component"))
+        alone = links.filter("a = b").select(F.col("a").alias("node"), F.col("b").alias("component"))
+        roots = edges[0].select(F.col("b").alias("node"), F.col("b").alias("component"))
+        return keep(members.unionByName(roots).unionByName(alone).groupBy("node").agg(F.min("component").alias("component")), "components")
+
+
+def _round(edges: DataFrame) -> tuple[DataFrame, tuple, int]:
+    """The edges as a table, what tells it from others, and its length."""
+    table = materialise(edges, "edges")
+    state = table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    return table, tuple(state), state[0]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,24 +14,25 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+#: A key with at least one part in so many of the rows is hot, so there are no more hot keys than this.
+HOT_PARTS = 1000
+
 _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or the warehouse where it is unset."""
     conf = spark.sparkContext.getConf()
     if place := conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None):
         return place.rstrip("/")
-    own = "file://" + tempfile.mkdtemp(prefix="veilframe-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet below shared_dir() and read it back.
 
     Cuts the lineage: a lost executor re-reads the files instead of repeating the work. The table is
-    deleted when the driver's Python ends.
+    deleted by the passing() around it, or else when the driver's Python ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/veilframe-{uuid.uuid4().hex}-{tag}"
@@ -41,16 +43,48 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def passing() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Deletes the tables that are materialised within, but for those written with what it gives: its results."""
+    first, kept = len(_made), []
+
+    def keep(df: DataFrame, tag: str) -> DataFrame:
+        out = materialise(df, tag)
+        kept.append(_made[-1])
+        return out
+
+    try:
+        yield keep
+    finally:
+        gone, _made[first:] = [x for x in _made[first:] if x not in kept], kept
+        for spark, path in gone:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _clean() -> None:
     for spark, path in _made:
         try:
-            jvm = spark.sparkContext._jvm
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            _delete(spark, path)
         except Exception:  # the session may have ended already; then only files are left behind
             return
 
 
+def join_hot(rows: DataFrame, per_key: DataFrame, key: str, count: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined with per_key, which has each key once and, as count, how many of the total rows have it.
+
+    The hot keys of per_key, HOT_PARTS at most, are broadcast, so that their rows stay where they
+    are; the others are shuffled. Both tables are read twice. Rows without a key are kept by how "left".
+    """
+    hot = per_key.filter(F.col(count) * HOT_PARTS >= total)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(per_key.filter(F.col(count) * HOT_PARTS < total), key, how)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Rows hold whole texts, so Arrow batches of the default 10,000 rows are large; a setting of the user's own stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

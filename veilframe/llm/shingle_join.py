@@ -3,23 +3,30 @@
 Documents with the same set of shingles are one row of the incidence matrix. Columns are ordered
 with the frequent ones last. A pair that reaches the similarity must meet in the first
 n - ceil(t n) + 1 columns of both rows, so candidates come from those columns alone; each column is
-counted once per row, and a column with one row falls away. Rows are drawn to the least row of
-their columns, by the number of columns shared, which groups them into families. Inside a family
-the product is formed block by block; between families, pairs whose accumulated columns are below
-the bound that their sizes set are discarded. What is left is counted exactly.
+counted once per row, a column with one row falls away, and columns with the same rows are a bundle.
+
+First each row is compared with the least row of its bundles, the hub, with which it shares the
+most columns, and with the others drawn there, which joins most groups of copies in linear time.
+Only spanning links are asked for, so rows of one component need no further comparison. What else
+may link is found by blocks: rows are dealt into blocks of bounded size, and a bundle counts once
+for each of its blocks, with the set of their rows as bits. Pairs of blocks that share bundles are
+multiplied: the overlaps of their prefixes are accumulated, pairs of rows below the bound that their
+sizes set are discarded, and rows with a pair left are multiplied with their whole sets. No pair of
+documents leaves a block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from veilframe.llm.components import connected_components
-from veilframe.llm.shared import documents, materialise, small_batches
+from veilframe.llm.shared import documents, join_hot, materialise, passing, small_batches
 from veilframe.llm.words import Words, groups, lean, mix
 
 WORDS = 5
@@ -29,12 +36,12 @@ OVER, UNDER = 75, 100
 FREQUENT = 0.0025
 #: Prefix entries that one block of columns has in the mean, and the least number of blocks.
 BLOCK_ENTRIES, LEAST_BLOCKS = 500_000, 64
-#: Rows of a family that make a block of the product.
-BLOCK_ROWS = 256
-#: Candidate rows up to which their ids are broadcast to fetch their texts; beyond, texts are shuffled.
-BROADCAST_ROWS = 200_000
-#: Bundles of this many columns or more count as any number.
-MOST_COLUMNS = (1 << 20) - 1
+#: Rows of a block at most, one for each bit of BIT_WORDS longs; half as many in the mean.
+BLOCK_ROWS, BIT_WORDS = 256, 4
+#: Candidate rows up to which their ids (16 bytes each) are broadcast to fetch their texts; beyond, texts are shuffled.
+BROADCAST_ROWS = 500_000
+#: Rows whose size differs by less than this factor are dealt to the same blocks.
+SIZE_CLASS = 1.15
 _U = np.uint64
 
 
@@ -51,9 +58,18 @@ def _sets(column: pa.Array, words: int) -> Iterator[list[np.ndarray]]:
         yield np.split(grams, np.searchsorted(of, np.arange(1, len(texts))))
 
 
-def _fingerprint(s: np.ndarray) -> int:
-    """64-bit hash of a set. Two of N different sets fall together with a chance of about N squared / 2**65."""
-    return int(mix(np.array([mix(s ^ _U(0x2545F4914F6CDD1D)).sum(dtype=_U) + _U(len(s))], _U)).view(np.int64)[0])
+def _fingerprints(s: np.ndarray) -> tuple[int, int]:
+    """Two independent 64-bit hashes of a set."""
+    n = _U(len(s))
+    sums = np.array([mix(s ^ _U(0x2545F4914F6CDD1D)).sum(dtype=_U) + n, mix(s + _U(0x632BE59BD9B4E019)).sum(dtype=_U) ^ n], _U)
+    return tuple(mix(sums).view(np.int64).tolist())
+
+
+def _row_key(s: np.ndarray, clashes: frozenset[int], bits: int) -> int:
+    """What names a set: its first hash, or the second one where different sets share the first. bits are those of the first that are used."""
+    first, second = _fingerprints(s)
+    first = first >> (64 - bits)
+    return second if first in clashes else first
 
 
 def _prefix(n: int) -> int:
@@ -61,14 +77,15 @@ def _prefix(n: int) -> int:
 
 
 @lean
-def _measure(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """A row per document (kind 0: doc_id, n, fingerprint), and at the end the columns that are frequent here (kind 1: column, rows)."""
-    names = ["kind", "a", "n", "fp"]
+def _measure(batches: Iterator[pa.RecordBatch], words: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """A row per document (kind 0: doc_id, n, both fingerprints), and at the end the columns that are frequent here (kind 1: column, rows)."""
+    names = ["kind", "a", "n", "fp", "fp2"]
     keys, counts, done, held, waiting = np.zeros(0, _U), np.zeros(0, np.int64), set(), 0, []
 
-    def batch(kind: int, a: list | pa.Array, n: list | np.ndarray, fp: list | None = None) -> pa.RecordBatch:
+    def batch(kind: int, a: list | pa.Array, n: list | np.ndarray, prints: list | None = None) -> pa.RecordBatch:
         size = len(n)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int32)), pa.array(a, pa.int64()), pa.array(n, pa.int64()), pa.array(fp if fp is not None else [None] * size, pa.int64())], names)
+        prints = prints if prints is not None else [(None, None)] * size
+        return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int32)), pa.array(a, pa.int64()), pa.array(n, pa.int64()), *[pa.array([x[i] for x in prints], pa.int64()) for i in (0, 1)]], names)
 
     def fold() -> None:
         """Lossy counting: what is rarer than half the share so far is forgotten."""
@@ -79,19 +96,19 @@ def _measure(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
         keys, counts, held, waiting = both[keep], counts[keep], 0, []
 
     for b in batches:
-        size, fps = [], []
+        size, prints = [], []
         for sets in _sets(b.column(1), words):
             for s in sets:
-                fp = _fingerprint(s) if len(s) else None
+                first, second = _fingerprints(s) if len(s) else (None, None)
                 size.append(len(s))
-                fps.append(fp)
-                if fp is not None and fp not in done:
-                    done.add(fp)
+                prints.append((first if first is None else first >> (64 - bits), second))
+                if second is not None and second not in done:
+                    done.add(second)
                     waiting.append(s)
                     held += len(s)
             if held > 1 << 20:
                 fold()
-        yield batch(0, b.column(0).cast(pa.int64()), size, fps)
+        yield batch(0, b.column(0).cast(pa.int64()), size, prints)
     fold()
     keep = counts >= max(2, len(done) * FREQUENT / 2)
     yield batch(1, pa.array(keys[keep].view(np.int64)), counts[keep])
@@ -101,7 +118,7 @@ _ENTRY = np.dtype([("h", "<u8"), ("fp", "<i8"), ("n", "<u4"), ("q", "u1")])
 
 
 @lean
-def _entries(batches: Iterator[pa.RecordBatch], words: int, frequent: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
+def _entries(batches: Iterator[pa.RecordBatch], key: Callable[[np.ndarray], int], words: int, frequent: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
     """Prefix entries (column, row, row size, place in the row by 256ths) as bytes, by block of columns; frequent columns go to blocks of their own by row."""
     done: set[int] = set()
     waiting: list[np.ndarray] = []
@@ -122,7 +139,7 @@ def _entries(batches: Iterator[pa.RecordBatch], words: int, frequent: np.ndarray
     for b in batches:
         for sets in _sets(b.column(0), words):
             for s in sets:
-                if not len(s) or (fp := _fingerprint(s)) in done:
+                if not len(s) or (fp := key(s)) in done:
                     continue
                 done.add(fp)
                 if len(frequent):
@@ -152,6 +169,11 @@ def _columns(table: pa.Table, blocks: int) -> pa.Table:
     return pa.table({"h": pa.array(e["h"].view(np.int64) if len(e) else [], pa.int64()), "fp": pa.array(e["fp"].copy()), "n": pa.array(e["n"].astype(np.int64)), "q": pa.array(e["q"].astype(np.int32))})
 
 
+def _rest(n: Column, q: Column) -> Column:
+    """No fewer than the columns of a row from this place on."""
+    return n - F.floor(n * q / 256)
+
+
 def _compatible(n: Column, m: Column) -> Column:
     return F.least(n, m) * UNDER >= F.greatest(n, m) * OVER
 
@@ -161,42 +183,96 @@ def _needed(n: Column, m: Column) -> Column:
     return F.ceil((n + m) * OVER / (OVER + UNDER))
 
 
-def _rest(n: Column, q: Column) -> Column:
-    """No fewer than the columns of a row from this place on."""
-    return n - F.floor(n * q / 256)
+def _may_link(lo: Column, hi: Column, lo_: Column, hi_: Column, shared: Column) -> Column:
+    """Whether sizes lo to hi and lo_ to hi_ hold two that may link if no more than shared columns of their prefixes are common.
+
+    Beyond its prefix a row of n columns has fewer than OVER n / UNDER, and an overlap is needed that grows
+    with both sizes; so the larger row at its largest and the smaller one at its smallest decide.
+    """
+
+    def larger(most: Column, least: Column) -> Column:
+        n = F.least(most.cast("double"), least * (UNDER / OVER))
+        return (most >= least) & (shared + n * (OVER / UNDER) + 1e-6 >= (n + least) * (OVER / (OVER + UNDER)))
+
+    return larger(hi, lo_) | larger(hi_, lo)
+
+
+_LINKS = ["a", "b"]
+
+
+def _pairs_wanted(size: np.ndarray, side: np.ndarray, component: np.ndarray) -> np.ndarray:
+    """Pairs of a cell's rows to be compared: of sides 0 and 1, or both of side 2; of different components and sizes that can link."""
+    across = (side[:, None] == 0) & (side[None] == 1)
+    wanted = across | across.T | (side[:, None] == 2) & (side[None] == 2)
+    wanted &= np.minimum(size[:, None], size[None]) * UNDER >= np.maximum(size[:, None], size[None]) * OVER
+    return wanted & (component[:, None] != component[None])
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows (cell, fp, ...) sorted by cell and fp, each cell's at once, without repeated fps."""
+    cell, rows = None, []
+    for b in batches:
+        for x, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if x != cell:
+                if rows:
+                    yield cell, rows
+                cell, rows = x, []
+            if not rows or row[0] != rows[-1][0]:
+                rows.append(row)
+    if rows:
+        yield cell, rows
 
 
 @lean
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell: sets (kind 0, with side) and then the pairs asked for (kind 1). Without pairs, all of sides 0 and 1, or of side 2, are multiplied.
+def _accumulated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, fp, side, component, n, bundles with their numbers of columns) that have a partner in their cell which the bound lets pass."""
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    names, out = ["cell", "fp", "side", "component"], []
+
+    def batch() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names)
+        out.clear()
+        return made
+
+    for cell, rows in _by_cell(batches):
+        fps, side, component, n, bundles = zip(*rows, strict=True)
+        n = np.array(n)
+        wanted = _pairs_wanted(n, np.array(side), np.array(component))
+        if not wanted.any():
+            continue
+        weight = {x["bundle"]: x["shared"] for own in bundles for x in own}
+        overlap = _product([np.array(sorted(x["bundle"] for x in own), np.int64) for own in bundles], weight)
+        larger = np.maximum(n[:, None], n[None])
+        needed = -(-(n[:, None] + n[None]) * OVER // (OVER + UNDER))
+        wanted &= (overlap > 0) & (overlap - (-OVER * larger // UNDER) - 1 >= needed)
+        out += [(cell, fps[i], side[i], component[i]) for i in np.flatnonzero(wanted.any(1)).tolist()]
+        if len(out) > 10_000:
+            yield batch()
+    yield batch()
 
-    Gives each row that has a link and the least row of its group within the cell.
-    """
-    cell, fps, sides, sets, pairs = None, [], [], [], []
+
+@lean
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, fp, side, component, set): for each component that has a link here, the least one of its group within the cell."""
     out: list[tuple[int, int]] = []
 
-    def close() -> None:
-        if len(fps) < 2:
-            return
-        size = np.array([len(s) for s in sets])
-        wanted = np.zeros((len(fps), len(fps)), bool)
-        if pairs:
-            at = {f: i for i, f in enumerate(fps)}
-            for x, y in pairs:
-                if x in at and y in at:
-                    wanted[at[x], at[y]] = True
-        else:
-            side = np.array(sides)
-            wanted = (side[:, None] == 0) & (side[None] == 1) | (side[:, None] == 2) & (side[None] == 2)
-        wanted &= np.minimum(size[:, None], size[None]) * UNDER >= np.maximum(size[:, None], size[None]) * OVER
-        np.fill_diagonal(wanted, False)
+    def batch() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], _LINKS)
+        out.clear()
+        return made
+
+    for _, rows in _by_cell(batches):
+        _, side, component, sets = zip(*rows, strict=True)
+        sets = [np.frombuffer(raw, _U) for raw in sets]
+        size, component = np.array([len(s) for s in sets]), np.array(component)
+        wanted = _pairs_wanted(size, np.array(side), component)
         if not wanted.any():
-            return
+            continue
         overlap = _product(sets)
-        link = wanted & (overlap * UNDER >= (size[:, None] + size[None] - overlap) * OVER)
-        r, c = np.nonzero(link)
-        ids = np.array(fps, np.int64)
-        label = ids.copy()
+        r, c = np.nonzero(wanted & (overlap * UNDER >= (size[:, None] + size[None] - overlap) * OVER))
+        own, at = np.unique(component, return_inverse=True)
+        r, c = at[r], at[c]
+        label = own.copy()
         while True:
             new = label.copy()
             np.minimum.at(new, r, label[c])
@@ -204,28 +280,14 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (new == label).all():
                 break
             label = new
-        out.extend((int(ids[i]), int(label[i])) for i in np.union1d(r, c))
-
-    for b in batches:
-        for x, kind, fp, other, side, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if x != cell:
-                close()
-                cell, fps, sides, sets, pairs = x, [], [], [], []
-            if kind:
-                pairs.append((fp, other))
-            elif not fps or fp != fps[-1]:
-                fps.append(fp)
-                sides.append(side)
-                sets.append(np.frombuffer(raw, _U))
+        out.extend((int(own[i]), int(label[i])) for i in np.union1d(r, c))
         if len(out) > 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], ["a", "b"])
-            out.clear()
-    close()
-    yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+            yield batch()
+    yield batch()
 
 
-def _product(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
-    """Overlaps of all pairs of sets: the incidence matrix times its transpose, some columns at a time."""
+def _product(sets: list[np.ndarray], weight: dict[int, int] | None = None, width: int = 4096) -> np.ndarray:
+    """Overlaps of all pairs of sets: the incidence matrix times its transpose, some columns at a time. weight says for how many columns one counts."""
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     column = np.concatenate(sets)
     order = np.argsort(column, kind="stable")
@@ -234,29 +296,38 @@ def _product(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     new[1:] = column[1:] != column[:-1]
     place = np.cumsum(new) - 1
     often = np.bincount(place)[place] > 1
-    row, place = row[often], place[often]
-    place = np.unique(place, return_inverse=True)[1]
+    row, place, column = row[often], place[often], column[often]
+    own, place = np.unique(place, return_inverse=True)
+    counts = np.ones(len(own))
+    if weight is not None:
+        counts[place] = [weight[x] for x in column.tolist()]
     total = np.zeros((len(sets), len(sets)))
-    n = int(place[-1]) + 1 if len(place) else 0
-    for first in range(0, n, width):
+    for first in range(0, len(own), width):
         a, b = np.searchsorted(place, (first, first + width))
-        block = np.zeros((len(sets), min(width, n - first)), np.float32)
+        block = np.zeros((len(sets), min(width, len(own) - first)), np.float32 if weight is None else np.float64)
         block[row[a:b], place[a:b] - first] = 1
-        total += block @ block.T
+        total += (block if weight is None else block * counts[first : first + width]) @ block.T
     return total.astype(np.int64)
 
 
 class ShingleJoin:
-    """The steps of one join over a table of documents (doc_id, text)."""
+    """The steps of one join over a table of documents (doc_id, text). bits are those that tell sets apart at first, fewer in tests."""
 
-    def __init__(self, docs: DataFrame, words: int = WORDS) -> None:
+    def __init__(self, docs: DataFrame, words: int = WORDS, bits: int = 64) -> None:
         small_batches(docs.sparkSession)
         self.docs, self.words = docs.select("doc_id", "text"), words
-        measured = materialise(self.docs.mapInArrow(lambda it: _measure(it, words), "kind int, a long, n long, fp long"), "measured")
-        self.rows = measured.filter("kind = 0").select(F.col("a").alias("doc_id"), "n", "fp")
-        self.kinds = materialise(self.rows.filter("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "kinds")
-        sums = self.kinds.agg(F.count("*").alias("rows"), F.sum(F.col("n") / UNDER * (UNDER - OVER) + 1).alias("entries")).first()
-        self.count, self.entries = sums["rows"], sums["entries"] or 0
+        measured = materialise(self.docs.mapInArrow(lambda it: _measure(it, words, bits), "kind int, a long, n long, fp long, fp2 long"), "measured")
+        rows = measured.filter("kind = 0").select(F.col("a").alias("doc_id"), "n", "fp", "fp2")
+        sets = rows.filter("fp IS NOT NULL AND doc_id IS NOT NULL")
+        # different sets share a first hash about N squared / 2**65 times among N sets
+        clashing = sets.groupBy("fp").agg((F.min("fp2") != F.max("fp2")).alias("clash")).filter("clash").select("fp")
+        clashes = self.clashes = frozenset(r.fp for r in clashing.collect())
+        self.key = lambda s: _row_key(s, clashes, bits)
+        named = F.when(F.col("fp").isin(*clashes), F.col("fp2")).otherwise(F.col("fp")) if clashes else F.col("fp")
+        self.rows = rows.select("doc_id", "n", named.alias("fp"), "fp2")
+        self.kinds = materialise(self.rows.filter("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.count("*").alias("times")), "kinds")
+        sums = self.kinds.agg(F.count("*").alias("rows"), F.sum(F.col("n") / UNDER * (UNDER - OVER) + 1).alias("entries"), F.sum("times").alias("documents")).first()
+        self.count, self.entries, self.documents = sums["rows"], sums["entries"] or 0, sums["documents"] or 0
         often = measured.filter("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, FREQUENT * self.count))
         # at most mean row size / FREQUENT columns, whatever the number of rows
         self.frequent = np.sort(np.array([r.a for r in often.select("a").collect()], np.int64).view(_U))
@@ -264,116 +335,163 @@ class ShingleJoin:
     def columns(self) -> DataFrame:
         """(h, fp, n, q): prefix columns that several rows share."""
         blocks = max(LEAST_BLOCKS, int(self.entries // BLOCK_ENTRIES))
-        words, frequent = self.words, self.frequent
-        entries = self.docs.select("text").mapInArrow(lambda it: _entries(it, words, frequent, blocks), "block int, entries binary")
+        words, frequent, key = self.words, self.frequent, self.key
+        entries = self.docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(lambda it: _entries(it, key, words, frequent, blocks), "block int, entries binary")
         return materialise(entries.groupBy("block").applyInArrow(lambda t: _columns(t, blocks), "h long, fp long, n long, q int"), "columns")
 
-    def fetch(self, members: DataFrame) -> DataFrame:
-        """members (cell, fp, side) with the set of each row. A text is hashed once and its set then copied to its cells."""
-        asked = members.groupBy("fp").agg(F.collect_list(F.struct("cell", "side")).alias("cells")).join(self.kinds, "fp").select("fp", "doc_id", "cells")
-        asked = materialise(asked, "asked")
-        texts = self.docs.join(F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked, "doc_id").select("fp", "text", "cells")
-        words = self.words
+    def bundles(self) -> DataFrame:
+        """(bundle, fp, n, q, shared): prefix columns that hold exactly the same rows, as one; q is the first one's place."""
+        columns = self.columns()
+        rows = [F.bit_xor(F.xxhash64("fp", F.lit(i))) for i in (0, 1)]
+        of = columns.groupBy("h").agg(F.xxhash64(*rows, F.count("*")).alias("bundle"))
+        return materialise(columns.join(of, "h").groupBy("bundle", "fp", "n").agg(F.min("q").alias("q"), F.count("*").alias("shared")), "bundles")
+
+    def fetch(self, fps: DataFrame) -> DataFrame:
+        """(fp, s): the set of each row named in fps, as a table. Each text is hashed once."""
+        asked = materialise(fps.join(self.kinds, "fp").select("fp", "doc_id"), "asked")
+        texts = self.docs.join(F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked, "doc_id").select("fp", "text")
+        words, key = self.words, self.key
 
         @lean
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 fps, first = b.column(0).to_pylist(), 0
                 for sets in _sets(b.column(1), words):
-                    # of rows that repeat an id, the one whose text is meant
-                    own = [i for i, s in enumerate(sets) if len(s) and _fingerprint(s) == fps[first + i]]
-                    at = pa.array([first + i for i in own], pa.int64())
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array([sets[i].tobytes() for i in own], pa.binary()), b.column(2).take(at)], ["fp", "s", "cells"])
+                    # of rows that repeat an id, those whose text is meant
+                    own = [i for i, s in enumerate(sets) if len(s) and key(s) == fps[first + i]]
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([first + i for i in own], pa.int64())), pa.array([sets[i].tobytes() for i in own], pa.binary())], ["fp", "s"])
                     first += len(sets)
 
-        kind = texts.schema["cells"].dataType.simpleString()
-        return texts.mapInArrow(hashed, f"fp long, s binary, cells {kind}").select("fp", "s", F.explode("cells").alias("c")).select("c.cell", "fp", "c.side", "s")
+        return materialise(texts.mapInArrow(hashed, "fp long, s binary"), "sets")
 
-    def multiply(self, members: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-        """Links (a, b) found in cells. members: cell, fp, side; pairs: cell, fp, other."""
-        rows = self.fetch(members).select("cell", F.lit(0).alias("kind"), "fp", F.lit(0).cast("long").alias("other"), "side", "s")
-        if pairs is not None:
-            rows = rows.unionByName(pairs.select("cell", F.lit(1).alias("kind"), "fp", "other", F.lit(3).alias("side"), F.lit(None).cast("binary").alias("s")))
+    def dealt(self, rows: DataFrame, per_row: DataFrame, *columns: str) -> DataFrame:
+        """The rows of each cell together, in order, with what per_row says of them."""
         n = max(16, int(self.entries // BLOCK_ENTRIES))
-        return rows.repartition(n, "cell").sortWithinPartitions("cell", "kind", "fp").mapInArrow(_cells, "a long, b long")
-
-    def bundles(self) -> DataFrame:
-        """(bundle, fp, n, q, shared): prefix columns that hold exactly the same rows, as one; q is the first one's place."""
-        columns = self.columns()
-        rows = [F.bit_xor(F.xxhash64("fp", F.lit(i))) for i in (0, 1)]
-        of = columns.groupBy("h").agg(F.xxhash64(*rows, F.count("*")).alias("bundle"))
-        return materialise(columns.join(of, "h").groupBy("bundle", "fp", "n").agg(F.min("q").alias("q"), F.count("*").alias("shared")), "bundles")
+        return rows.join(per_row, "fp").select("cell", "fp", *columns).repartition(n, "cell").sortWithinPartitions("cell", "fp")
 
-    def links(self) -> DataFrame:
-        """(a, b): pairs of rows that span every group of linked rows."""
-        bundles = self.bundles()
+    def drawn(self, bundles: DataFrame) -> DataFrame:
+        """(fp, other): each row with the hub with which it shares the most columns. The least row of a bundle is its hub."""
         place = F.xxhash64("fp")
-        least = bundles.groupBy("bundle").agg(F.min(F.struct(place.alias("place"), F.col("fp").alias("other"), F.col("n").alias("m"), F.col("q").alias("r"))).alias("hub")).select("bundle", "hub.other", "hub.m", "hub.r")
-        drawn = bundles.join(least, "bundle").filter((F.col("fp") != F.col("other")) & _compatible(F.col("n"), F.col("m")))
-        drawn = drawn.filter(F.least(_rest(F.col("n"), F.col("q")), _rest(F.col("m"), F.col("r"))) >= _needed(F.col("n"), F.col("m")))
-        best = drawn.groupBy("fp", "other").agg(F.sum("shared").alias("shared")).groupBy("fp").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
-        family = connected_components(best.select(F.col("fp").alias("a"), F.col("other").alias("b")))
-        family = materialise(family.select(F.col("node").alias("fp"), F.col("component").alias("family")), "family")
-
-        sized = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
-        part = family.join(sized, "family").withColumn("part", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts").cast("long")).cast("int"))
-        chunk = materialise(part.select("fp", "family", "part", "parts"), "chunks")
-        spread = chunk.select("fp", "family", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"))
-        cell = F.xxhash64("family", F.least("part", "with"), F.greatest("part", "with"))
-        members = spread.select("fp", cell.alias("cell"), F.when(F.col("part") == F.col("with"), 2).when(F.col("part") < F.col("with"), 0).otherwise(1).alias("side"))
-        inside = materialise(self.multiply(members), "inside")
-
-        # Rows of different families meet where columns of theirs are shared. A pair that links has its
-        # first common column early enough in both rows for the overlap it needs, and that overlap
-        # is no more than the shared prefix columns of either row and what lies beyond the prefixes.
-        own = bundles.join(chunk, "fp", "left").withColumn("family", F.coalesce("family", "fp")).withColumn("part", F.coalesce("part", F.lit(0)))
-        mixed = own.groupBy("bundle").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).filter("lo <> hi").select("bundle")
-        left = own.join(mixed, "bundle", "left_semi").select("bundle", "fp", "n", "q", "shared", "family", "part")
-        most = left.groupBy("fp").agg(F.sum("shared").alias("most"))
-        left = materialise(left.join(most, "fp"), "mixed")
-        right = left.select("bundle", *[F.col(c).alias(f"{c}_") for c in ("fp", "n", "q", "family", "part", "most")])
-        n, m = F.col("n"), F.col("n_")
-        beyond = F.ceil(F.greatest(n, m) * OVER / UNDER) - 1
-        early = F.least(_rest(n, F.col("q")), _rest(m, F.col("q_"))) >= _needed(n, m)
-        enough = F.least("most", "most_") + beyond >= _needed(n, m)
-        met = left.join(right, (left.bundle == right.bundle) & (F.col("family") < F.col("family_")) & _compatible(n, m) & early & enough)
-        pair = ["fp", "n", "fp_", "n_", "family", "part", "family_", "part_"]
-        met = met.select(*pair).distinct()
-        # What the two rows really share of their prefixes. A row's bundles, no more than its own
-        # columns, travel as one array of codes that hold each bundle's number of columns.
-        code = F.col("bundle").bitwiseAND(~MOST_COLUMNS).bitwiseOR(F.least(F.col("shared"), F.lit(MOST_COLUMNS)))
-        lists = left.groupBy("fp").agg(F.collect_list(code).alias("codes"))
-        met = met.join(lists, "fp").join(lists.select(F.col("fp").alias("fp_"), F.col("codes").alias("codes_")), "fp_")
-        columns_of = lambda c: F.when(c.bitwiseAND(MOST_COLUMNS) == MOST_COLUMNS, F.lit(1 << 40)).otherwise(c.bitwiseAND(MOST_COLUMNS))
-        shared = F.aggregate(F.array_intersect("codes", "codes_"), F.lit(0).cast("long"), lambda t, c: t + columns_of(c))
-        met = met.filter(shared + beyond >= _needed(n, m))
-        met = materialise(met.select(F.xxhash64("family", "part", "family_", "part_").alias("cell"), "fp", F.col("fp_").alias("other")), "met")
-        members = met.select("cell", "fp").unionByName(met.select("cell", F.col("other").alias("fp"))).distinct().withColumn("side", F.lit(3))
-        return materialise(inside.unionByName(self.multiply(members, met)), "links")
+        least = bundles.groupBy("bundle").agg(F.min(F.struct(place.alias("place"), F.col("fp").alias("other"), F.col("n").alias("m"), F.col("q").alias("r"))).alias("hub"), F.count("*").alias("rows"))
+        least = least.select("bundle", "hub.other", "hub.m", "hub.r", "rows")
+        n, m = F.col("n"), F.col("m")
+        met = join_hot(bundles, least, "bundle", "rows", self.entries).filter((F.col("fp") != F.col("other")) & _compatible(n, m))
+        met = met.filter(F.least(_rest(n, F.col("q")), _rest(m, F.col("r"))) >= _needed(n, m))
+        best = met.groupBy("fp", "other").agg(F.sum("shared").alias("shared")).groupBy("fp").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
+        return materialise(best, "drawn")
+
+    def placed(self, mixed: DataFrame, component: DataFrame) -> DataFrame:
+        """(fp, n, component, great, block, position): rows dealt into blocks.
+
+        A row's home is the largest bundle it has, so that rows which share much meet in few blocks. Components
+        of a block's size and more, named by great, have blocks of their own.
+        """
+        great = component.groupBy("component").agg(F.count("*").alias("members")).filter(F.col("members") >= BLOCK_ROWS)
+        named = join_hot(component, great.withColumn("great", F.col("component")), "component", "members", self.count, "left").select("fp", "component", "great")
+        rows = mixed.groupBy("fp").agg(F.max_by("bundle", F.struct("rows", "bundle")).alias("home"), F.first("n").alias("n"))
+        rows = rows.join(named, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        group = F.xxhash64("home", F.coalesce("great", F.lit(0)), F.floor(F.log("n") / float(np.log(SIZE_CLASS))))
+        rows = materialise(rows.select("fp", "n", "component", "great", group.alias("group")), "homes")
+        sized = rows.groupBy("group").agg(F.count("*").alias("rows"))
+        part = F.pmod(F.xxhash64("fp", F.lit(2)), F.ceil(F.col("rows") * 2 / BLOCK_ROWS))
+        rows = join_hot(rows, sized, "group", "rows", self.count).withColumn("part", part)
+        at = F.row_number().over(Window.partitionBy("group", "part").orderBy("fp")) - 1
+        rows = rows.withColumn("at", at)
+        block = F.xxhash64("group", "part", F.floor(F.col("at") / BLOCK_ROWS))
+        return materialise(rows.select("fp", "n", "component", "great", block.alias("block"), F.pmod("at", F.lit(BLOCK_ROWS)).alias("position")), "placed")
+
+    def meetings(self, mixed: DataFrame, placed: DataFrame) -> DataFrame:
+        """(cell, fp, side): the rows of two blocks that share bundles, for each two blocks whose sizes and places let rows of theirs link."""
+        words = range(BIT_WORDS)
+        bits = [F.bit_or(F.when(F.floor(F.col("position") / 64) == i, F.expr("shiftleft(1L, position % 64)")).otherwise(F.lit(0).cast("long"))).alias(f"b{i}") for i in words]
+        bounds = [F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("q").alias("q"), F.min("component").alias("c"), F.max("component").alias("d")]
+        held = mixed.select("bundle", "fp", "q", "shared").join(placed, "fp")
+        held = materialise(held.groupBy("bundle", "block", "great").agg(F.first("shared").alias("shared"), *bounds, *bits), "incidence")
+        other = held.select("bundle", *[F.col(x).alias(f"{x}_") for x in held.columns if x not in ("bundle", "shared")])
+        rest = lambda x: F.col(f"hi{x}") - F.floor(F.col(f"hi{x}") * F.col(f"q{x}") / 256)
+        alone = (F.col("c") == F.col("d")) & (F.col("c_") == F.col("d_")) & (F.col("c") == F.col("c_"))
+        early = F.least(rest(""), rest("_")) >= _needed(F.col("lo"), F.col("lo_"))
+        sizes = (F.col("hi") * UNDER >= F.col("lo_") * OVER) & (F.col("hi_") * UNDER >= F.col("lo") * OVER)
+        may = ~alone & sizes
+        # Blocks of one great component are never compared with each other, and not even met in a join:
+        # any block meets those of no great component, and great ones meet where a bundle has several components of them.
+        small = held.join(other.filter("great_ IS NULL"), "bundle").filter(may & (F.col("great").isNotNull() | (F.col("block") <= F.col("block_")))).withColumn("early", early)
+        several = held.filter("great IS NOT NULL").groupBy("bundle").agg(F.min("great").alias("x"), F.max("great").alias("y")).filter("x <> y").select("bundle")
+        both = held.filter("great IS NOT NULL").join(several, "bundle", "left_semi").join(other.filter("great_ IS NOT NULL"), "bundle").filter(may & (F.col("great") < F.col("great_"))).withColumn("early", early)
+        met = small.unionByName(both).groupBy("block", "block_").agg(
+            F.bool_or("early").alias("early"), F.sum("shared").alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("lo_").alias("lo_"), F.max("hi_").alias("hi_"),
+            *[F.bit_or(f"b{i}{x}").alias(f"b{i}{x}") for i in words for x in ("", "_")],
+        )
+        # the first column that two rows share must come early in both; what they share is counted over all
+        met = met.filter("early").filter(_may_link(F.col("lo"), F.col("hi"), F.col("lo_"), F.col("hi_"), F.col("shared")))
+        met = materialise(met.withColumn("cell", F.xxhash64("block", "block_")), "met")
+        position = F.filter(F.sequence(F.lit(0), F.lit(BLOCK_ROWS - 1)), lambda p: F.getbit(F.element_at(F.col("bits"), F.floor(p / 64).cast("int") + 1), p % 64) == 1)
+
+        def members(x: str, side: int, where: str) -> DataFrame:
+            own = met.filter(where).select("cell", F.col(f"block{x}").alias("block"), F.array(*[f"b{i}{x}" for i in words]).alias("bits"))
+            return own.select("cell", "block", F.explode(position).alias("position")).withColumn("side", F.lit(side))
+
+        found = members("", 0, "block <> block_").unionByName(members("_", 1, "block <> block_")).unionByName(members("", 2, "block = block_"))
+        return found.join(placed, ["block", "position"]).select("cell", "fp", "side", "component", "n")
+
+    def components(self) -> DataFrame:
+        """(fp, component, members) of every row that links: the least row reachable, and how many rows it has."""
+        bundles = self.bundles()
+        best = self.drawn(bundles)
+        sized = best.groupBy("other").agg(F.count("*").alias("rows"))
+        part = F.pmod(F.xxhash64("fp", F.lit(1)), F.ceil(F.col("rows") / (BLOCK_ROWS - 1)))
+        own = join_hot(best, sized, "other", "rows", self.count).select("fp", "other", part.alias("part"))
+        hubs = sized.select(F.col("other").alias("fp"), "other", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("rows") / (BLOCK_ROWS - 1)) - 1)).alias("part"))
+        cells = own.unionByName(hubs).select(F.xxhash64("other", "part").alias("cell"), "fp", F.lit(2).alias("side"), F.col("fp").alias("component"))
+        cells = materialise(cells, "cells")
+        sets = self.fetch(cells.select("fp").distinct())
+        drawn = self.dealt(cells, sets, "side", "component", "s").mapInArrow(_cells, "a long, b long")
+        first = connected_components(drawn).withColumnRenamed("node", "fp")
+
+        # bundles whose rows are not all in one component yet
+        named = bundles.join(first, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        open_ = named.groupBy("bundle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows")).filter("x <> y").select("bundle", "rows")
+        mixed = materialise(join_hot(bundles, open_, "bundle", "rows", self.entries), "mixed")
+        placed = self.placed(mixed, first)
+        lists = mixed.groupBy("fp").agg(F.collect_list(F.struct("bundle", "shared")).alias("bundles"))  # no more than the row's own prefix
+        passed = self.dealt(self.meetings(mixed, placed), lists, "side", "component", "n", "bundles").mapInArrow(_accumulated, "cell long, fp long, side int, component long")
+        passed = materialise(passed, "passed")
+        missing = passed.select("fp").distinct().join(sets, "fp", "left_anti")
+        sets = sets.unionByName(self.fetch(missing))
+        second = connected_components(self.dealt(passed, sets, "side", "component", "s").mapInArrow(_cells, "a long, b long"))
+
+        # the second links are between components, and name those by their least rows
+        second = second.select(F.col("node").alias("component"), F.col("component").alias("least"))
+        rows = first.unionByName(second.select(F.col("component").alias("fp"), "component")).distinct()
+        sizes = rows.groupBy("component").agg(F.count("*").alias("rows"))
+        rows = join_hot(rows, sizes.join(second, "component", "left"), "component", "rows", self.count)
+        return rows.select("fp", F.coalesce("least", "component").alias("component"))
 
 
 def fingerprints(rows: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, place and fp, the fingerprint of the set (null where it is empty), of rows (doc_id, place, text)."""
+    """doc_id, place and fp2, the second hash of the set (null where it is empty), of rows (doc_id, place, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [_fingerprint(s) if len(s) else None for sets in _sets(b.column(2), words) for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())], ["doc_id", "place", "fp"])
+            prints = [_fingerprints(s)[1] if len(s) else None for sets in _sets(b.column(2), words) for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(prints, pa.int64())], ["doc_id", "place", "fp2"])
 
     small_batches(rows.sparkSession)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "place", "text").mapInArrow(run, f"doc_id {kind}, place long, fp long")
-
-
-def link_rows(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
-    """join_shingles() with fp, the fingerprint of the row's set, and component, the least one reachable by links; both null without shingles."""
-    join = ShingleJoin(docs, words)
-    components = connected_components(join.links()).withColumnRenamed("node", "fp")
-    named = join.kinds.join(components, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_kind = named.join(least, "component").select("fp", "component", "component_id")
-    linked = join.rows.join(of_kind, "fp", "left")
-    return linked.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "fp", "component")
+    return rows.select("doc_id", "place", "text").mapInArrow(run, f"doc_id {kind}, place long, fp2 long")
+
+
+def link_rows(docs: DataFrame, *, words: int = WORDS, bits: int = 64) -> DataFrame:
+    """join_shingles() with fp2, a hash of the row's set, and component, which its rows share; both null without shingles."""
+    with passing() as keep:
+        join = ShingleJoin(docs, words, bits)
+        components = join.components()
+        named = materialise(join.kinds.join(components, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "named")
+        least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("sets"))
+        of_set = join_hot(named, least, "component", "sets", join.count).select("fp", "times", "component", "component_id")
+        of_set = materialise(of_set, "components")
+        linked = join_hot(join.rows, of_set, "fp", "times", join.documents, "left")
+        return keep(linked.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "fp2", "component"), "linked")
 
 
 def join_shingles(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
