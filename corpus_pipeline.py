@@ -6,7 +6,7 @@ an operator passes them on, so extra columns can't clash with an operator's own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.llm import mixing, packing, secrets, shingle_join, toxicity
@@ -19,8 +19,11 @@ TOKENIZER = "word_bpe_49k.json"
 ORACLE_SQL = None
 
 
-def _with_row(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", *(["source"] if "source" in docs.columns else []), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
+def _with_row(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    """What operators look at, and the whole row, or the columns named, as one struct; a table without sources has only the null one."""
+    of = F.col("source") if "source" in docs.columns else F.lit(None).cast("string").alias("source")
+    rest = [c for c in docs.columns if carried and c not in carried]
+    return docs.select("doc_id", "text", of, F.struct(*[F.col(f"`{c}`") for c in carried or docs.columns]).alias(ROW), *rest)
 
 
 def _rows(carried: DataFrame, docs: DataFrame) -> DataFrame:
@@ -37,7 +40,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of linked documents the one with the least doc_id, and all that link with nothing.
 
     Rows that repeat an id are judged each by its own text; of those of one id and component one
-    stays, the one whose text hashes least. Rows without an id stay.
+    stays, the one whose text, then whose columns but maps hash least. Rows without an id stay.
     """
     linked = shingle_join.link_rows(docs)
     gone = materialise(linked.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
@@ -47,13 +50,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if not (repeated := again.count()):
         return kept
     again = F.broadcast(again) if repeated <= BROADCAST_IDS else again
+    ties = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
     place = F.xxhash64("text").alias("place")
-    rows = _with_row(docs.join(again, "doc_id", "left_semi").select(*docs.columns)).select("doc_id", "text", ROW, place)
+    rows = _with_row(docs.join(again, "doc_id", "left_semi").select(*docs.columns, F.xxhash64(*ties).alias("__tie")), docs.columns).select("doc_id", "text", ROW, place, "__tie")
     own = shingle_join.fingerprints(rows.select("doc_id", "place", "text").dropDuplicates(["doc_id", "place"]))
-    components = linked.join(again, "doc_id", "left_semi").select("doc_id", "fp", "component", "component_id").distinct()
-    own = own.alias("o").join(components.alias("c"), F.expr("o.doc_id = c.doc_id AND o.fp <=> c.fp")).filter("c.component_id = c.doc_id")
-    rows = rows.join(own.select("o.doc_id", "o.place", "c.component"), ["doc_id", "place"])
-    first = rows.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "component").orderBy("place"))).filter("__n = 1")
+    components = linked.join(again, "doc_id", "left_semi").select("doc_id", "fp2", "component", "component_id").distinct()
+    own = own.alias("o").join(components.alias("c"), F.expr("o.doc_id = c.doc_id AND o.fp2 <=> c.fp2")).filter("c.component_id = c.doc_id")
+    own = materialise(own.select("o.doc_id", "o.place", "c.component"), "own")
+    rows = rows.join(F.broadcast(own) if own.count() <= BROADCAST_IDS else own, ["doc_id", "place"])
+    first = rows.groupBy("doc_id", "component").agg(F.min_by(ROW, F.struct("place", "__tie")).alias(ROW))
     return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(_rows(first, docs))
 
 
