@@ -42,6 +42,7 @@ def test_field_labels(table):
     assert [g[0] for g in got] == [True, True, False, False, False]
 
 
+# Spellings that must fold, and those that must not.
 CANONICAL = [
     ("０１０－１２３４－５６７８", "010-1234-5678"), ("①②③④⑤", "12345"), ("⁰¹²³", "0123"), ("𝟎𝟏𝟐𝟑", "0123"), ("901231‑1234567", "901231-1234567"), ("901231–1234567", "901231-1234567"),
     ("010​-1234-5678", "010-1234-5678"), ("010﻿-1234­-5678", "010-1234-5678"), ("구1공8공4", "910804"), ("공일공-일이삼사-오육칠팔", "010-1234-5678"), ("공1공-1234-5678", "010-1234-5678"),
@@ -63,6 +64,18 @@ def test_original_span(spark):
     at = textnorm.canonical(text)[0].index("010")
     got = one(spark, textnorm.original_span(c, F.lit(at), F.lit(at + 13)).alias("s"), textnorm.original_span(c, F.lit(3), F.lit(3)).alias("none"), textnorm.canonicalize(F.lit(None).cast("string"))["text"])
     assert text[got.s.start : got.s.end] == "공일공-일이삼사-오육칠팔" and tuple(got.none) == (0, 0) and got[2] is None
+    size = len(text)  # places beyond the text count as its last
+    beyond = one(spark, textnorm.original_span(c, F.lit(500), F.lit(600)), textnorm.original_span(c, F.lit(-3), F.lit(600)), textnorm.original_span(textnorm.canonicalize(F.lit("")), F.lit(0), F.lit(5)))
+    assert [tuple(b) for b in beyond] == [(size - 1, size), (0, size), (0, 0)]
+
+
+def test_spelt_addresses_point_at_all_they_came_from():
+    folded, starts, ends, changed = textnorm.canonical("to max.m [ at ] buero-7 (dot) org, eva{at}a.b-c.example 앳")
+    assert folded == "to max.m@buero-7.org, eva@a.b-c.example 앳" and changed
+    at = folded.index("@")
+    assert (starts[at], ends[at]) == (3, 33) and len(starts) == len(folded)
+    for same in ("look at me", "a ( dot b", "x(at)y", "hana (at) com( dot de", "(at) hana.com"):
+        assert textnorm.canonical(same)[0] == same
 
 
 ITEM = '{"text":"a","type":"NAME","bbox_2d":[1,2,3,4]}'
