@@ -1,6 +1,7 @@
 """Operators of the llm folder against brute force, round trips, and the awkward cases their docstrings define."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -331,10 +332,70 @@ def test_mixing(table):
     assert mixing.mix_with_targets(d.limit(0)).count() == 0
 
 
+def test_mixing_of_more_sources_than_the_driver_routes(table, monkeypatch):
+    rng = random.Random(16)
+    rows = [(i, "w " * rng.randint(0, 9), None if i % 90 == 0 else f"s{i % 83}") for i in range(2000)] + [(i, "w " * 50, "s1") for i in range(300)]
+    d = table(rows, DOCS + ", source string").repartition(3)
+    few = Counter((r.doc_id, r.source, r.source_size, round(r.target, 6), r.taken) for r in mixing.mix_with_targets(d).collect())
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 20)
+    assert Counter((r.doc_id, r.source, r.source_size, round(r.target, 6), r.taken) for r in mixing.mix_with_targets(d).collect()) == few
+
+
+def test_mixing_takes_some_of_equal_rows(spark):
+    docs = spark.range(0, 100_000, 1, 3).select(F.lit(4).cast("long").alias("doc_id"), F.lit("w w w w w").alias("text"), F.lit("b").alias("source"))
+    docs = docs.unionByName(spark.range(30_000).select("id", F.lit("w w w w w").alias("text"), F.lit("a").alias("source")).toDF("doc_id", "text", "source"))
+    got = {r.source: r for r in mixing.mix_with_targets(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("taken").alias("most")).collect()}
+    # a asks for 3 of 4 parts, is capped at twice its 150000 words, and b gets the rest of 975000
+    assert (got["a"].target, got["b"].target) == (300_000.0, 675_000.0)
+    assert got["a"].taken == 300_000 and abs(got["b"].taken - 675_000) <= 5 and got["b"].most == 10
+
+
+def brute_flow(patterns, wanted, repeats):
+    """Most words that can be routed and the least number of later passes among such, trying every integer flow."""
+    sources = list(wanted)
+    states = {tuple(0 for _ in sources): 0}
+    for members, size in patterns:
+        options = []
+        for split in itertools.product(*[range(min(wanted[x], repeats * size) + 1) if x in members else [0] for x in sources]):
+            if sum(split) <= repeats * size:
+                options.append((split, sum(max(0, sum(split) - size * r) for r in range(1, repeats))))
+        new = {}
+        for have, cost in states.items():
+            for split, more in options:
+                to = tuple(a + b for a, b in zip(have, split, strict=True))
+                if all(a <= wanted[x] for a, x in zip(to, sources, strict=True)) and cost + more < new.get(to, 1 << 30):
+                    new[to] = cost + more
+        states = new
+    most = max(map(sum, states))
+    return most, min(c for have, c in states.items() if sum(have) == most)
+
+
+def test_flow_is_greatest_and_cheapest():
+    rng = random.Random(12)
+    for _ in range(60):
+        names = ["a", "b", "c"][: rng.randint(1, 3)]
+        patterns = [(tuple(m), rng.randint(0, 4)) for n in range(1, len(names) + 1) for m in itertools.combinations(names, n) if rng.random() < 0.6]
+        wanted, repeats = {x: rng.randint(0, 7) for x in names}, rng.randint(1, 3)
+        routed = mixing.route(patterns, wanted, repeats)
+        assert all(sum(r.get(x, 0) for r in routed) <= wanted[x] for x in names)
+        given = [sum(r.values()) for r in routed]
+        assert all(g <= repeats * size for g, (_, size) in zip(given, patterns, strict=True))
+        cost = sum(max(0, g - size * r) for g, (_, size) in zip(given, patterns, strict=True) for r in range(1, repeats))
+        assert (sum(given), cost) == brute_flow(patterns, wanted, repeats)
+
+
 def test_mixing_overlap(table):
     rows = [(i, "w " * 10, ["a"] if i % 3 == 0 else ["a", "b"] if i % 3 == 1 else None) for i in range(300)]
     got = mixing.mix_sources(table(rows, "doc_id long, text string, m array<string>"), members="m").collect()
     assert len(got) == 300 and all(r.copies == 0 for r in got if not r.members) and {a.source for r in got for a in r.allocation} <= {"a", "b"}
+    # sizes: a 2000, b 1000 words; half as much again as all 3000 is shared out, 3 parts and 1
+    words = Counter()
+    for r in got:
+        for x in r.allocation:
+            words[x.source] += r["size"]
+            assert x.source in r.members
+    wanted = mixing.quotas([2000, 1000], [3, 1], Fraction(3, 2) * 3000)
+    assert abs(words["a"] - wanted[0]) <= 10 and abs(words["b"] - wanted[1]) <= 10
 
 
 # --- 6 rules ----------------------------------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from veilframe.llm.shared import documents, materialise, n_words
+from veilframe.llm.shared import documents, join_hot, materialise, n_words
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -115,14 +115,14 @@ class FlowNetwork:
 
 def route(patterns: Sequence[tuple[tuple, int]], wanted: dict, repeats: int = REPEATS) -> list[dict]:
     """For each (member sources, words) pattern, the words that go to each of its sources."""
-    sources = list(wanted)
+    sources = {x: j for j, x in enumerate(wanted)}
     s, t, first = 0, 1 + len(patterns) + len(sources), 1 + len(patterns)
     net, arcs = FlowNetwork(t + 1), []
     for i, (members, words) in enumerate(patterns):
         for r in range(repeats):
             net.arc(s, 1 + i, words, r)
-        arcs.append({x: net.arc(1 + i, first + sources.index(x), repeats * words) for x in members})
-    for j, x in enumerate(sources):
+        arcs.append({x: net.arc(1 + i, first + sources[x], repeats * words) for x in members})
+    for x, j in sources.items():
         net.arc(first + j, t, int(wanted[x]))
     net.run(s, t)
     return [{x: net.room[e ^ 1] for x, e in own.items()} for own in arcs]
@@ -139,11 +139,14 @@ def mix_sources(
     copies (0 to repeats), taken (copies * size) and allocation, the source each copy counts for.
     Null text has size 0 and is never taken; a null source is a source of its own, the last in
     order; a null or empty members array belongs to no source and is not taken. Repeated rows are
-    separate documents that share a place in the order. Of other columns only the one named keep is passed on. An empty
-    table gives an empty result. mix_with_targets() adds the targets.
-
-    At most MAX_PATTERNS distinct membership patterns may occur: that table is the only thing
-    that reaches the driver, and more raise an error.
+    separate documents that lie one behind another, so a target may take some of them; which does not
+    show unless their other columns differ. Of other columns only the one named keep is passed on; for that docs is
+    read twice, and of equal rows the right number is taken if both give the same order, as tables do. An
+    empty table gives an empty result. mix_with_targets() adds the targets.
+
+    Up to MAX_PATTERNS distinct membership patterns are routed on the driver. Beyond, documents with one
+    source each need no flow, as a source's only pattern gives what it asks for: any number of sources is
+    worked on as a table. Only more than MAX_PATTERNS patterns of overlapping sources raise an error.
     """
     return _mixed(docs, members, weights, share, repeats, seed, keep)[0]
 
@@ -151,30 +154,92 @@ def mix_sources(
 def mix_with_targets(docs: DataFrame, **options) -> DataFrame:
     """mix_sources() with source_size and target of each document's first source."""
     o = {"members": None, "weights": WEIGHTS, "share": SHARE, "repeats": REPEATS, "seed": 17} | options
-    mixed, sizes, wanted = _mixed(docs, o["members"], o["weights"], o["share"], o["repeats"], o["seed"])
-    table = docs.sparkSession.createDataFrame([(x, sizes[x], float(wanted[x])) for x in sizes], "source string, source_size long, target double")
+    mixed, table = _mixed(docs, o["members"], o["weights"], o["share"], o["repeats"], o["seed"])
     own = mixed.withColumn("source", F.try_element_at("members", F.lit(1)))
-    # one row for each source, at most MAX_PATTERNS
-    return own.join(F.broadcast(table), own.source.eqNullSafe(table.source), "left").drop(table.source)
+    return table(own)
 
 
 def _sized(docs, members, seed, keep=()):
     of = F.array(F.col("source").cast("string")) if members is None else F.array_sort(F.array_distinct(F.coalesce(F.col(members), F.array().cast("array<string>"))))
-    return docs.select("doc_id", of.alias("members"), n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.length("text")).alias("place"), *keep)
+    row = F.monotonically_increasing_id().alias("row")
+    return docs.select("doc_id", of.alias("members"), n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.length("text")).alias("place"), row, *keep)
+
 
+def _cell():
+    """Where on the line of its pattern a document lies: cells are its stretches."""
+    return F.pmod(F.shiftrightunsigned("place", 3), F.col("cells").cast("long")).alias("cell")
 
-def _key():
-    """A document's place on the line of its pattern; cells holds the pattern's number of cells."""
-    cell = F.pmod(F.shiftrightunsigned("place", 3), F.col("cells").cast("long"))
-    return F.struct(cell.alias("cell"), F.col("place").alias("place"), F.col("doc_id").alias("doc_id"), F.col("size").alias("size"))
+
+def _key(row):
+    """A document's place on the line of its pattern; row tells equal ones apart."""
+    return F.struct(_cell(), F.col("place").alias("place"), F.col("doc_id").alias("doc_id"), F.col("size").alias("size"), row.alias("row"))
 
 
 def _mixed(docs, members, weights, share, repeats, seed, keep=None):
+    """The documents with their allocation, and what adds source_size and target to rows with a source."""
     spark = docs.sparkSession
     sized = materialise(_sized(docs, members, seed), "sizes")
-    found = sized.groupBy("members").agg(F.sum("size").alias("words"), F.count("*").alias("docs")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    found = materialise(sized.groupBy("members").agg(F.sum("size").alias("words"), F.count("*").alias("docs")), "patterns")
+    total, rows = found.agg(F.sum("words"), F.sum("docs")).first()
+    if found.count() <= MAX_PATTERNS:
+        plan, ends, targets = _routed(spark, found.collect(), weights, share, repeats)
+    elif members is None:
+        plan, ends, targets = _one_source_each(found, weights, share * total, repeats)
+    else:
+        raise ValueError(f"more than {MAX_PATTERNS} membership patterns of overlapping sources")
+    few = members is not None or found.count() <= MAX_PATTERNS  # then plan and ends have few rows
+
+    def with_plan(x: DataFrame, y: DataFrame) -> DataFrame:
+        return x.join(F.broadcast(y), "members") if few else join_hot(x, y, "members", "docs", rows)
+
+    # Equal documents of one partition are one part of the line: it has their words, and knows their rows in order.
+    line = with_plan(sized, plan).filter("size > 0").withColumn("cell", _cell())
+    line = line.groupBy("pattern", "words", "cell", "place", "doc_id", "size", F.shiftright("row", 33).alias("part")).agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    line = materialise(line, "line")
+    length = F.col("size") * F.size("rows")
+    starts = line.groupBy("pattern", "cell").agg(F.sum(length).alias("cell_words"))
+    starts = starts.select("pattern", "cell", (F.sum("cell_words").over(Window.partitionBy("pattern").orderBy("cell")) - F.col("cell_words")).alias("cell_start"))
+    within = Window.partitionBy("pattern", "cell").orderBy("place", "doc_id", "size", "part").rowsBetween(Window.unboundedPreceding, 0)
+    line = line.join(starts, ["pattern", "cell"]).withColumn("at", F.col("cell_start") + F.sum(length).over(within) - length)
+    # A copy counts for the part of the routed length on which the middle of its words lies. Parts lie one
+    # after another, so the last key of each part says for every document, wherever it is read, what it gives.
+    spots = line.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    spots = spots.join(F.broadcast(ends) if few else ends, "pattern")
+
+    def before(end: str):
+        """How many of the equal documents have their middle before an end of a part."""
+        beyond = F.col(end) * 2 - F.col("words") * 2 * F.col("copy") - F.col("at") * 2 - F.col("size")
+        return F.least(F.greatest(F.expr("0L"), F.ceil(beyond / (F.col("size") * 2))), F.size("rows").cast("long")).cast("int")
+
+    spots = spots.withColumn("n", before("hi")).filter(F.col("n") > before("lo"))
+    key = F.struct("cell", "place", "doc_id", "size", F.get("rows", F.col("n") - 1).alias("row"))
+    last = spots.groupBy("pattern", "copy", "share", "source").agg(F.max(key).alias("last"))
+    bounds = last.groupBy("pattern").agg(F.array_sort(F.collect_list(F.struct("copy", "share", "source", "last"))).alias("bounds"))
+    plan = materialise(plan.join(F.broadcast(bounds) if few else bounds, "pattern", "left"), "bounds")
+    out = with_plan(_sized(docs, members, seed, (keep,)) if keep else sized, plan).withColumn("key", _key(F.col("row")))
+
+    def gives(copy: int):
+        mine = F.filter("bounds", lambda b: (b["copy"] == copy) & (F.col("key") <= b["last"]))
+        return F.when(F.col("size") > 0, F.transform(F.slice(mine, 1, 1), lambda b: F.struct((b["copy"] + 1).alias("copy"), b["source"].alias("source"))))
+
+    none = F.array().cast("array<struct<copy:int,source:string>>")
+    out = out.withColumn("allocation", F.concat(*[F.coalesce(gives(r), none) for r in range(repeats)])).withColumn("copies", F.size("allocation"))
+    out = out.select("doc_id", "members", "size", "copies", (F.col("copies") * F.col("size")).alias("taken"), "allocation", *([keep] if keep else []))
+
+    def with_targets(own: DataFrame) -> DataFrame:
+        if few:  # one row for each source
+            return own.join(F.broadcast(targets), own.source.eqNullSafe(targets.source), "left").drop(targets.source)
+        return join_hot(own, targets, "members", "docs", rows).drop("docs")
+
+    return out, with_targets
+
+
+def _routed(spark, found, weights, share, repeats) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Targets and routed words of some patterns (members, words, docs), found on the driver.
+
+    Gives the patterns (pattern, members, words, docs, cells), the parts of their lines (pattern, share,
+    source, lo, hi), and the targets (source, source_size, target).
+    """
     found.sort(key=lambda r: [(x is None, x or "") for x in r.members])
     sizes: dict = {}
     for r in found:
@@ -185,33 +250,52 @@ def _mixed(docs, members, weights, share, repeats, seed, keep=None):
     routed = route([(tuple(r.members), r.words) for r in found], wanted, repeats)
     table, parts = [], []
     for i, (r, to) in enumerate(zip(found, routed, strict=True)):
-        table.append((i, list(r.members), r.words, min(MAX_CELLS, 1 + r.docs // DOCS_PER_CELL)))
+        table.append((i, list(r.members), r.words, r.docs, min(MAX_CELLS, 1 + r.docs // DOCS_PER_CELL)))
         at = 0
         for k, x in enumerate(r.members):
             parts.append((i, k, x, at, at := at + to[x]))
-    plan = F.broadcast(spark.createDataFrame(table, "pattern int, members array<string>, words long, cells int"))  # at most MAX_PATTERNS rows
-    line = sized.join(plan, "members").withColumn("key", _key()).withColumn("cell", F.col("key.cell"))
-    starts = line.groupBy("pattern", "cell").agg(F.sum("size").alias("cell_words"))
-    starts = starts.select("pattern", "cell", (F.sum("cell_words").over(Window.partitionBy("pattern").orderBy("cell")) - F.col("cell_words")).alias("cell_start"))
-    within = Window.partitionBy("pattern", "cell").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    line = line.join(starts, ["pattern", "cell"]).withColumn("at", F.col("cell_start") + F.sum("size").over(within) - F.col("size"))
-    # A copy counts for the part of the routed length on which the middle of its words lies. Parts lie one
-    # after another, so the last key of each part says for every document, wherever it is read, what it gives.
-    middle = F.explode(F.array(*[F.struct(F.lit(r).alias("copy"), (F.col("words") * 2 * r + F.col("at") * 2 + F.col("size")).alias("m")) for r in range(repeats)]))
-    spots = line.filter("size > 0").select("pattern", "key", middle.alias("c")).select("pattern", "key", "c.copy", "c.m")
-    ends = F.broadcast(spark.createDataFrame(parts, "pattern int, part int, source string, lo long, hi long"))  # one row for each pattern and source
-    last = spots.join(ends, "pattern").filter("m >= lo * 2 AND m < hi * 2").groupBy("pattern", "copy", "part", "source").agg(F.max("key").alias("last"))
-    bounds = last.groupBy("pattern").agg(F.array_sort(F.collect_list(F.struct("copy", "part", "source", "last"))).alias("bounds"))
-    plan = F.broadcast(plan.join(bounds, "pattern", "left"))
-    rows = (_sized(docs, members, seed, (keep,)) if keep else sized).join(plan, "members").withColumn("key", _key())
+    plan = spark.createDataFrame(table, "pattern long, members array<string>, words long, docs long, cells int")
+    ends = spark.createDataFrame(parts, "pattern long, share int, source string, lo long, hi long")
+    return plan, ends, spark.createDataFrame([(x, sizes[x], float(wanted[x])) for x in sizes], "source string, source_size long, target double")
 
-    def gives(copy: int):
-        mine = F.filter("bounds", lambda b: (b["copy"] == copy) & (F.col("key") <= b["last"]))
-        return F.when(F.col("size") > 0, F.transform(F.slice(mine, 1, 1), lambda b: F.struct((b["copy"] + 1).alias("copy"), b["source"].alias("source"))))
 
-    none = F.array().cast("array<struct<copy:int,source:string>>")
-    out = rows.withColumn("allocation", F.concat(*[F.coalesce(gives(r), none) for r in range(repeats)])).withColumn("copies", F.size("allocation"))
-    return out.select("doc_id", "members", "size", "copies", (F.col("copies") * F.col("size")).alias("taken"), "allocation", *([keep] if keep else [])), sizes, wanted
+def _one_source_each(found: DataFrame, weights, total: Fraction, repeats: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """_routed() for any number of patterns of one source each, as tables; targets has members and docs instead of source.
+
+    A source is capped if its size is below a limit that depends on its weight alone, so quotas() comes
+    down to a few sums for each round.
+    """
+    source = F.get("members", F.lit(0))
+    parts = max(1, found.count() // MAX_PATTERNS)
+    ordered = found.repartitionByRange(parts, source.isNull(), source).sortWithinPartitions(source.isNull(), source)
+    ordered = materialise(ordered.withColumn("row", F.monotonically_increasing_id()), "ordered")
+    part, counts = F.shiftright("row", 33), {}
+    for r in ordered.groupBy(part.alias("part")).count().collect():
+        counts[r.part] = r["count"]
+    first = {p: sum(n for q, n in counts.items() if q < p) for p in counts}  # one for each partition
+    index = F.try_element_at(F.create_map(*[F.lit(x) for pair in first.items() for x in pair]), part) + F.expr("row & ((1L << 33) - 1)")
+    ordered = ordered.withColumn("pattern", index.cast("long"))
+    ordered = ordered.withColumn("weight", F.get(F.array(*[F.lit(w) for w in weights]), (F.col("pattern") % len(weights)).cast("int")))
+    limits = dict.fromkeys(set(weights), -1)
+    while True:
+        capped = F.col("words") <= F.coalesce(*[F.when(F.col("weight") == w, F.lit(x)) for w, x in limits.items()])
+        sums = ordered.agg(F.sum(F.when(capped, F.col("words"))).alias("words"), F.sum(F.when(~capped, F.col("weight"))).alias("weight")).first()
+        left, weight = total - repeats * (sums.words or 0), sums.weight or 0
+        above = {w: max(x, -(-left * w // (weight * repeats)) - 1) if weight else x for w, x in limits.items()}
+        if above == limits:
+            break
+        limits = above
+    each = {w: left * w / weight if weight else Fraction(0) for w in limits}
+    of_weight = lambda given: F.coalesce(*[F.when(F.col("weight") == w, F.lit(given(x))) for w, x in each.items()])
+    wanted = F.when(capped, F.col("words") * repeats)
+    out = ordered.select(
+        "pattern", "members", "words", "docs", F.least(F.lit(MAX_CELLS).cast("long"), 1 + F.floor(F.col("docs") / DOCS_PER_CELL)).cast("int").alias("cells"), source.alias("source"),
+        wanted.otherwise(of_weight(int)).alias("hi"), wanted.cast("double").alias("cap"), of_weight(float).alias("free"),
+    )
+    out = materialise(out, "routed")
+    ends = out.select("pattern", F.lit(0).alias("share"), "source", F.lit(0).cast("long").alias("lo"), "hi")
+    targets = out.select("members", "docs", F.col("words").alias("source_size"), F.coalesce("cap", "free").alias("target"))
+    return out.select("pattern", "members", "words", "docs", "cells"), ends, targets
 
 
 def op5_mix_sources(spark, sf_dir):
