@@ -453,6 +453,16 @@ def test_shards(table):
     assert sharding.shuffle_into_shards(table(EMPTY, DOCS)).count() == 0
 
 
+def test_shards_split_equal_rows(spark, table):
+    same = spark.range(0, 100_000, 1, 4).select(F.lit(1).cast("long").alias("doc_id"), F.lit("x").alias("text"), F.col("id").alias("other"))
+    got = sharding.shuffle_into_shards(same, bucket_rows=1000).withColumn("part", F.spark_partition_id())
+    assert got.groupBy("part").count().agg(F.max("count")).first()[0] < 5_000
+    assert got.agg(F.count("*"), F.countDistinct("slot"), F.max("slot"), F.countDistinct("shard"), F.countDistinct("other")).first() == (100_000, 100_000, 99_999, 1, 100_000)
+    ties = table([(i % 3, "t", i) for i in range(300)], DOCS + ", other long")
+    rows = [sorted((r.shard, r.slot, r.other) for r in sharding.shuffle_into_shards(d).collect()) for d in (ties, ties.repartition(5))]
+    assert rows[0] == rows[1]
+
+
 # --- 8 packing ---------------------------------------------------------------------------------------------------------
 
 
@@ -604,6 +614,16 @@ def test_labels_of_the_held_out_fold_are_not_learnt(table):
     assert set(seen) == {f"w{i}" for i in range(200) if zlib.crc32(str(i).encode()) % 5}
 
 
+def test_a_sample_has_each_document_once_and_bounded_text(spark, table):
+    docs = spark.range(20_000).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("b"), "id").alias("text")).unionByName(table([(i, "x" * 100) for i in range(4, 60)], DOCS))
+    labels = table([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    known = [i for i in range(3, 60) if zlib.crc32(str(i).encode()) % 5]
+    whole = labelled.fit_on_sample(docs, labels, "toxic", lambda t, y, w: sorted(t))
+    assert len(whole) == len(known) and [t for t in whole if t[0] == "b"] == (["b0"] if 3 in known else [])
+    short = labelled.fit_on_sample(docs, labels, "toxic", lambda t, y, w: [sum(len(t) for t, c in zip(t, y, strict=True) if c == k) for k in (0, 1)], characters=350)
+    assert short[0] == 300 and 300 <= short[1] <= 350
+
+
 def test_pipeline_of_nothing(spark, table, tmp_path, tokenizer_path):
     import corpus_pipeline as p
 

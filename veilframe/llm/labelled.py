@@ -13,20 +13,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilframe.llm.shared import held_out, small_batches
+from veilframe.llm.shared import held_out, materialise, passing, small_batches
 from veilframe.llm.words import GROUP_BYTES, Texts, groups, lean
 
-#: At most so many labelled documents of each class are learnt from.
+#: At most so many labelled documents of each class are learnt from, and so many characters of each class.
 ROWS_PER_CLASS = 4_000
+CHARACTERS_PER_CLASS = 32 << 20
 
 
-def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, fit: Callable[[list[str], np.ndarray, np.ndarray], Any], rows_per_class: int = ROWS_PER_CLASS, seed: int = 5) -> Any:
+def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, fit: Callable[[list[str], np.ndarray, np.ndarray], Any], rows_per_class: int = ROWS_PER_CLASS, seed: int = 5, characters: int = CHARACTERS_PER_CLASS) -> Any:
     """What fit makes of the texts, 0/1 labels and weights of a seeded sample of the labelled rows outside the held-out fold.
 
-    One executor fits, as the sample is bounded, and its result must be plain arrays, which are
-    pickled. The weights restore the classes' shares among all labelled rows. Null labels and null
-    ids are left out; of repeated label rows the largest label counts.
+    One executor fits, as the sample is bounded in rows and characters, and its result must be plain arrays,
+    which are pickled. The weights restore the classes' shares among all labelled rows. Null labels and null
+    ids are left out; of repeated label rows the largest label counts, of repeated documents the
+    least text.
     """
+    with passing():
+        return _fitted(docs, labels, label, fit, rows_per_class, seed, characters)
+
+
+def _fitted(docs, labels, label, fit, rows_per_class, seed, characters):
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(label).cast("long").alias("label"))
     counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
@@ -34,8 +41,18 @@ def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, fit: Callable[
     for c in (0, 1):
         part = known.filter(F.col("label") == c).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(rows_per_class)
         drawn = part if drawn is None else drawn.unionByName(part)
-    # at most 2 * rows_per_class ids
-    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "label")
+    # at most 2 * rows_per_class ids, each with one text
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+    sample = materialise(sample.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "sample")
+    long, room, spent = [], {0: characters, 1: characters}, {0: 0, 1: 0}
+    for r in sample.select("doc_id", "label", F.char_length("text").alias("n"), F.xxhash64(F.lit(seed), "doc_id").alias("place")).orderBy("place", "doc_id").collect():
+        if spent[r.label] + r.n > room[r.label]:
+            long.append(r.doc_id)
+        else:
+            spent[r.label] += r.n
+    if long:
+        sample = sample.join(F.broadcast(docs.sparkSession.createDataFrame([(x,) for x in long], sample.select("doc_id").schema)), "doc_id", "left_anti")
+    sample = sample.select("doc_id", "text", "label")
 
     def fitted(texts: list[str], y: np.ndarray) -> bytes:
         share = np.array([counts.get(c, 0) / max(1, (y == c).sum()) for c in (0, 1)])
