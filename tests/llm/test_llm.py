@@ -531,7 +531,7 @@ CLEAN = "4111111111111112 999.1.1.1 000-12-3456 2023-02-29 version 4.0. 99/99/20
 
 
 def test_pseudonyms(table):
-    got = pseudonyms.pseudonymise_documents(table([(1, PERSONAL), (2, CLEAN), (3, None), (4, ""), (1, PERSONAL)], DOCS).withColumn("n_ip", F.lit("x"))).collect()
+    got = pseudonyms.pseudonymise_documents(table([(1, PERSONAL), (2, CLEAN), (3, None), (4, ""), (1, PERSONAL)], DOCS).withColumn("n_ip", F.lit("x")), key=pseudonyms.PUBLIC_KEY).collect()
     by = {r.doc_id: r for r in got}
     assert len(got) == 5 and by[2].text == CLEAN and by[3].text is None and by[4].text == "" and len({r.text for r in got if r.doc_id == 1}) == 1
     text = by[1].text
@@ -542,6 +542,45 @@ def test_pseudonyms(table):
     assert card[1].replace(" ", "") == card[2] and pseudonyms.luhn_digit(card[2][:-1]) == int(card[2][-1])
     back, _ = pseudonyms.pseudonymise(text, pseudonyms.Feistel(), back=True)
     assert back == PERSONAL
+    assert pseudonyms.pseudonymise_documents(table(EMPTY, DOCS), key=b"k").count() == 0
+
+
+def test_pseudonyms_link_equal_values():
+    f = pseudonyms.Feistel()
+    new = lambda text: pseudonyms.pseudonymise(text, f)[0]
+    digits = lambda text: re.sub("[^0-9]", "", text)
+    for same in (
+        ["+4915112345678", "+49 151 12345678", "+49-1511-234-5678"], ["+1 (017) 555-7713", "1 (017) 555-7713", "+1 017 555 7713", "+10175557713"], ["017-555-7713", "(017) 555-7713", "017.555.7713"],
+        ["0151 23456789", "01512 3456789", "0151/23456789"], ["+35312345678", "+353 1 234 5678"],
+    ):
+        made = [new(x) for x in same]
+        assert len({digits(x) for x in made}) == 1 and digits(made[0]) != digits(same[0])
+        for x, y in zip(same, made, strict=True):
+            assert re.sub("[0-9]", "9", x) == re.sub("[0-9]", "9", y) and pseudonyms.pseudonymise(f"tel {y}.", f, back=True)[0] == f"tel {x}."
+    assert new("+4915112345678").startswith("+49") and new("+35312345678").startswith("+353") and new("0151 23456789").startswith("0")
+    assert digits(new("+1 017 555 7713"))[1:] == digits(new("017-555-7713"))
+    day = lambda text, order: dict(zip(order, (int(x) for x in re.split("[./-]", text)), strict=True))
+    assert day(new("3.5.1999"), "dmy") == day(new("03.05.1999"), "dmy") == day(new("1999-05-03"), "ymd") == day(new("5/3/1999"), "mdy") == day(new("3.05.1999"), "dmy")
+    for date in ("3.5.1999", "3.05.1999", "13.5.1999", "3.11.1999", "5/13/1999", "25/3/2001"):
+        assert [len(x) for x in re.split("[./]", new(date))] == [len(x) for x in re.split("[./]", date)] and pseudonyms.pseudonymise(new(date), f, back=True)[0] == date
+    for address in ("2001:db8::1", "fe80::1", "2001:db8:1:2:3:4:5:6"):
+        made, n = pseudonyms.pseudonymise(f"from {address}, ", f)
+        assert n == {"ip": 1} and address not in made and pseudonyms.pseudonymise(made, f, back=True)[0] == f"from {address}, "
+    assert new("2001:DB8:0:0:0:0:0:1") == new("2001:db8::1")
+    for clean in ("std::vector", "at 12:30:45", "a::b", "dead::beef", "10:20:30:40", "01512", "0151 23", "page 012 34", "00 12 34 56 78 90", "x0151 23456789", "2024:01:02:03:04"):
+        assert pseudonyms.pseudonymise(clean, f) == (clean, {})
+
+
+def test_pseudonyms_take_the_key_of_the_session(spark, table, tmp_path):
+    table([(1, "4111 1111 1111 1111")], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    with pytest.warns(UserWarning, match="not set"):
+        public = pseudonyms.op9_pseudonyms(spark, str(tmp_path)).first()
+    spark.conf.set(pseudonyms.KEY_SETTING, "of our own")
+    try:
+        own = pseudonyms.op9_pseudonyms(spark, str(tmp_path)).first()
+    finally:
+        spark.conf.unset(pseudonyms.KEY_SETTING)
+    assert public.text != own.text and public.n_card == own.n_card == 1
 
 
 DATES = ["25/12/2019", "31/12/1999", "12.31.1999", "25-12-2019", "12-25-2019", "05-06-2019", "2019/12/25", "2019.12.25", "12/31/1999", "31.12.1999"]

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import ipaddress
 import math
 import re
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,7 +24,8 @@ from veilframe.llm.shared import documents, small_batches
 from veilframe.llm.words import groups
 
 ROUNDS = 10
-KEY = b"veilframe: replace by a secret of your own"
+#: Where a session holds the key, and what the query uses where it is unset. The latter is public, so it protects nothing.
+KEY_SETTING, PUBLIC_KEY = "spark.veilframe.pseudonyms.key", b"veilframe: replace by a secret of your own"
 KINDS = ["email", "phone", "card", "ip", "ssn", "iban", "date"]
 #: Characters of an IBAN by country, from the SWIFT registry.
 IBAN_LENGTHS = {
@@ -35,6 +38,9 @@ IBAN_LENGTHS = {
     }.items()
     for c in countries.split()
 }
+# Country calling codes of one and of two digits (ITU-T E.164); all others have three.
+_ONE_DIGIT = "1 7".split()
+_TWO_DIGITS = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # to the end of 2099
 _ALPHABETS = [
     "0123456789",
@@ -49,7 +55,7 @@ _CLASS = {c: a for a in _ALPHABETS for c in a}
 class Feistel:
     """A keyed permutation of 0 .. size - 1 for each size and tweak."""
 
-    def __init__(self, key: bytes = KEY) -> None:
+    def __init__(self, key: bytes = PUBLIC_KEY) -> None:
         self.key = hashlib.sha256(key).digest()
 
     def _round(self, i: int, half: int, width: int, tweak: str) -> int:
@@ -109,13 +115,27 @@ def _email(f: Feistel, text: str, back: bool) -> str | None:
     return _fill(local, "".join(reversed(new)), _CLASS.__contains__) + "@" + domain
 
 
+def _calling_code(digits: str) -> str:
+    return next((digits[:n] for n, codes in ((1, _ONE_DIGIT), (2, _TWO_DIGITS)) if digits[:n] in codes), digits[:3])
+
+
 def _phone(f: Feistel, text: str, back: bool) -> str | None:
-    """The country code stays."""
-    code = (re.match(r"\+([0-9]{1,3})(?=[^0-9])|\+([0-9])", text) or re.match(r"([0-9]{1,3}) ?(?=\()", text) or [""])[0]
-    rest, digits = text[len(code) :], _digits(text[len(code) :])
-    if not 7 <= len(digits) <= 14:
+    """The country code stays, and a leading 0 of a national number; what follows is permuted, however it is grouped.
+
+    Numbers of three, three and four digits without a code are taken for those of code 1.
+    """
+    digits = _digits(text)
+    if text[0] == "+":
+        code = _calling_code(digits)
+    elif digits[0] == "0" and not re.fullmatch(r"\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}", text):
+        code = "0"
+    else:
+        code = digits[:-10]
+    rest = digits[len(code) :]
+    if not 7 <= len(rest) <= 14:
         return None
-    return code + _fill(rest, str(f.permute(int(digits), 10 ** len(digits), f"phone{len(digits)}", back)).zfill(len(digits)))
+    new = str(f.permute(int(rest), 10 ** len(rest), f"phone{code or 1}|{len(rest)}", back)).zfill(len(rest))
+    return _fill(text, code + new)
 
 
 def _card(f: Feistel, text: str, back: bool) -> str | None:
@@ -128,11 +148,17 @@ def _card(f: Feistel, text: str, back: bool) -> str | None:
 
 
 def _ip(f: Feistel, text: str, back: bool) -> str | None:
-    parts = [int(x) for x in text.split(".")]
-    if max(parts) > 255:
+    """Version 6 addresses are written in their shortest form (RFC 5952), however they came, so that equal ones stay equal."""
+    if ":" in text:
+        groups = [x for x in text.split(":") if x]
+        if len(groups) < 3 and not (len(groups[0]) == 4 and re.search("[0-9]", groups[0])):
+            return None
+    try:
+        address = ipaddress.ip_address(".".join(str(int(x)) for x in text.split(".")) if ":" not in text else text)
+    except ValueError:
         return None
-    v = f.permute(int.from_bytes(bytes(parts), "big"), 1 << 32, "ip", back)
-    return ".".join(str(x) for x in v.to_bytes(4, "big"))
+    v = f.permute(int(address), 1 << address.max_prefixlen, "ip" if address.version == 4 else "ip6", back)
+    return str(type(address)(v))
 
 
 def _ssn(f: Feistel, text: str, back: bool) -> str | None:
@@ -200,29 +226,34 @@ def _date(f: Feistel, text: str, back: bool) -> str | None:
         return None
     if not 0 <= day < _DAYS:
         return None
-    # how the numbers are padded is part of the format only where the year comes first
+    # Which of day and month are below 10 stays, so numbers keep their widths, whether padded or not.
     at = lambda v: datetime.date.fromordinal(_FIRST_DAY + v)
+    low = lambda v: (at(v).day < 10, at(v).month < 10)
+    own = low(day)
     if order == orders[0]:
-        new = at(f.permute(day, _DAYS, "date", back))
+        new = at(f.permute(day, _DAYS, "date", back, lambda v: low(v) == own))
     else:
-        new = at(f.permute(day, _DAYS, "date" + order, back, lambda v: at(v).day > 12))
-    parts = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+        new = at(f.permute(day, _DAYS, "date" + order, back, lambda v: low(v) == own and at(v).day > 12))
+    parts = {"y": f"{new.year:04d}", "m": str(new.month).zfill(len(of["m"])), "d": str(new.day).zfill(len(of["d"]))}
     return mark.join(parts[x] for x in order)
 
 
-_MAKE = {"phone": _phone, "card": _card, "ip": _ip, "ssn": _ssn, "iban": _iban, "date": _date}
+_MAKE = {"phone": _phone, "national": _phone, "card": _card, "ip": _ip, "ip6": _ip, "ssn": _ssn, "iban": _iban, "date": _date}
+_COUNTED = {"national": "phone", "ip6": "ip"}
 _NUMBERS = re.compile(
     r"""(?<![0-9])(?:
       (?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,4})?(?![A-Za-z0-9]))
     | (?P<phone>(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])
-        | \+[0-9]{8,15}(?![0-9]) | \+[0-9]{1,3}(?:[ .-][0-9]{2,8}){1,4}(?![0-9])
+        | \+[0-9]{8,15}(?![0-9]) | \+[0-9]{1,3}(?:[ .-][0-9]{1,8}){1,5}(?![0-9])
         | [0-9]{3}[-.][0-9]{3}[-.][0-9]{4}(?![0-9]))
     | (?P<card>[0-9]{13,19}(?![0-9]) | [0-9]{4}([ -])[0-9]{4}\4[0-9]{4}\4[0-9]{4}(?![0-9]) | [0-9]{4}([ -])[0-9]{6}\5[0-9]{5}(?![0-9]))
     | (?P<ip>(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))
     | (?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9]))
     | (?P<date>[0-9]{4}(?P<first>[-/.])[0-9]{2}(?P=first)[0-9]{2}(?![0-9]|[-.][0-9])
         | [0-9]{1,2}(?P<mark>[./])[0-9]{1,2}(?P=mark)[0-9]{4}(?![0-9]) | (?<![0-9]-)[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}(?![0-9]|-[0-9]))
-    )""",
+    | (?P<national>(?<![\w./-])0[1-9][0-9]{1,4}(?:[ /-][0-9]{2,8}){1,4}(?![\w/]|[.-][0-9]))
+    )
+    | (?P<ip6>(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){1,7}(?::?[0-9A-Fa-f]{1,4}){1,7}(?![\w:]|\.[0-9]))""",
     re.X | re.A,
 )
 _LOCAL = re.compile(r"[\w.%+-]{1,64}\Z")
@@ -242,9 +273,11 @@ def find(text: str) -> list[tuple[int, int, str]]:
     while m := _NUMBERS.search(text, at):
         kind = next(k for k in _MAKE if m[k] is not None)
         end = _iban_end(text, *m.span()) if kind == "iban" else m.end()
+        if kind == "national" and not 9 <= len(_digits(m[0])) <= 12:
+            end = None
         at = end or m.start() + 1  # behind the letters of a wrong IBAN there may be another number
         if end and not any(a < end and m.start() < b for a, b, _ in emails):
-            spans.append((m.start(), end, kind))
+            spans.append((m.start(), end, _COUNTED.get(kind, kind)))
     return sorted(spans)
 
 
@@ -260,12 +293,17 @@ def pseudonymise(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
     return "".join(out) + text[at:], counts
 
 
-def pseudonymise_documents(docs: DataFrame, *, key: bytes = KEY, back: bool = False) -> DataFrame:
+def pseudonymise_documents(docs: DataFrame, *, key: bytes, back: bool = False) -> DataFrame:
     """doc_id, text with pseudonyms and n_<kind> (long) for each of KINDS, for every row.
 
     Null text stays null and empty text empty, with counts 0; a text without personal data is
     returned as it is. Numbers that fail their check (Luhn, mod 97, calendar, octets, areas) are no
-    personal data. Whole texts are searched; repeated rows are treated alike; other columns are not looked at.
+    personal data. Whole texts are searched; repeated rows are treated alike; other columns are not looked at;
+    an empty table gives an empty result.
+
+    Equal values get equal pseudonyms under one key: dates in any order and padding, phone numbers with
+    a country code in any grouping, cards and IBANs with or without spaces. Whoever has the key can go
+    back (back=True); version 6 addresses then come back in their shortest form.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,4 +324,8 @@ def pseudonymise_documents(docs: DataFrame, *, key: bytes = KEY, back: bool = Fa
 
 
 def op9_pseudonyms(spark, sf_dir):
-    return pseudonymise_documents(documents(spark, sf_dir))
+    """documents under the session's key, KEY_SETTING. Without one the results show the format but protect nothing, and a warning says so."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms of a public key can be undone by anyone", stacklevel=2)
+    return pseudonymise_documents(documents(spark, sf_dir), key=key.encode() if key else PUBLIC_KEY)
