@@ -2,9 +2,9 @@
 
 On the unit sphere a cosine of c is a distance of sqrt(2 - 2c), the epsilon. Vectors are rotated to
 their principal axes, given the grid cell of side epsilon on the leading ones, and sorted by cell.
-The order is cut into blocks of bounded size; two blocks are joined only if their bounding boxes
-come within epsilon, and inside a pair of blocks intervals are halved and skipped by the same test
-until they are small. What is left is compared on the leading axes first, then exactly.
+The order is cut into blocks of bounded size; a vector is sent only to blocks whose bounding box
+comes within epsilon of it, and inside a pair of blocks intervals are halved and skipped by the same
+test on their boxes until they are small. What is left is compared on the leading axes first, then exactly.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm.components import connected_components
-from veilframe.llm.shared import materialise
+from veilframe.llm.shared import join_hot, materialise, passing
 
 COSINE = 0.95
-BLOCK = 4096
+#: Vectors of a block, and blocks at least (of SMALL_BLOCK vectors each) and at most, as their boxes are held
+#: by every task (256 bytes each): beyond BLOCK * MOST_BLOCKS vectors, 130 million, blocks grow.
+BLOCK, SMALL_BLOCK, LEAST_BLOCKS, MOST_BLOCKS = 16_384, 2048, 8, 8192
 #: Leading axes that are gridded and bounded.
 AXES = 16
 LEAF = 256
@@ -108,7 +110,10 @@ def link_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "e
     usable = F.coalesce(finite & F.col("vec_id").isNotNull(), F.lit(False))
     lengths = {r.dim: r["count"] for r in given.filter(usable).groupBy(F.size("x").alias("dim")).count().collect()}
     joined = sorted(dim for dim, rows in lengths.items() if rows > 1)
-    linked = [_link_length(given.filter(usable & (F.size("x") == dim)), dim, cosine, block) for dim in joined]
+    linked = []
+    for dim in joined:
+        with passing() as keep:
+            linked.append(keep(_link_length(given.filter(usable & (F.size("x") == dim)), dim, cosine, block), "linked"))
     # what no other row can be compared with
     alone = given.filter(~(usable & F.size("x").isin(joined))) if joined else given
     alone = alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
@@ -144,7 +149,7 @@ def _link_length(usable: DataFrame, dim: int, cosine: float, block: int) -> Data
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(key << _BITS | spread), pa.array(list(p), pa.list_(pa.float64()))], ["rep", "v", "times", "place", "p"])
 
     ordered = materialise(kinds.select("rep", "v", "times").mapInArrow(placed, "rep long, v binary, times long, place long, p array<double>"), "ordered")
-    n_blocks = -(-count // block)
+    n_blocks = min(MOST_BLOCKS, max(-(-count // block), min(LEAST_BLOCKS, count // min(block, SMALL_BLOCK))))
     cuts = ordered.agg(F.percentile_approx("place", F.array(*[F.lit(i / n_blocks) for i in range(1, n_blocks)]), F.lit(max(10_000, 20 * n_blocks)))).first()[0] if n_blocks > 1 else []
     cuts = np.array(cuts, np.int64)
 
@@ -158,21 +163,24 @@ def _link_length(usable: DataFrame, dim: int, cosine: float, block: int) -> Data
     low, high = (np.array([[r[f"{n}{i}"] for i in range(k)] for r in boxes]) for n in "lh")
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A copy of each vector for each pair of blocks that its block is joined in."""
+        """A copy of each vector for its own block, and one for each other block that comes within epsilon of it."""
+        names = ["low", "high", "own", "rep", "v", "times", "place"]
         for b in batches:
-            own = b.column(4).to_numpy()
-            for x in np.unique(own):
-                here = b.filter(pa.array(own == x))
-                at = int(np.flatnonzero(blocks == x)[0])
-                for y in blocks[_apart(low[at], high[at], low, high) <= epsilon]:
-                    names = ["low", "high", "own", "rep", "v", "times", "place"]
-                    cell = [pa.array(np.full(here.num_rows, z, np.int64)) for z in (min(x, y), max(x, y), x)]
-                    yield pa.RecordBatch.from_arrays([*cell, *[here.column(i) for i in range(4)]], names)
+            own, p = b.column(5).to_numpy(), np.asarray(b.column(4).flatten()).reshape(-1, k)
+            for i, y in enumerate(blocks):
+                gap = np.maximum(np.maximum(low[i] - p, p - high[i]), 0)
+                near = (own == y) | ((gap * gap).sum(1) <= epsilon * epsilon)
+                if near.any():
+                    x, here = own[near], b.filter(pa.array(near))
+                    cell = [pa.array(z.astype(np.int64)) for z in (np.minimum(x, y), np.maximum(x, y), x)]
+                    yield pa.RecordBatch.from_arrays([*cell, *[here.column(j) for j in range(4)]], names)
 
     def joined(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("place", kind="stable")
         same = pdf["low"].iloc[0] == pdf["high"].iloc[0]
         left, right = pdf[pdf["own"] == pdf["low"]], pdf[pdf["own"] == pdf["high"]]
+        if left.empty or right.empty:
+            return pd.DataFrame({x: np.zeros(0, np.int64) for x in ("rep", "links", "root")})
         a, b = (_unit(_matrix(pa.array(x["v"].tolist(), pa.binary()), dim)) for x in (left, right))
         r, c = _join(a, b, a @ axes[:, :k], b @ axes[:, :k], cosine, epsilon, same)
         ids = np.concatenate([left["rep"].to_numpy(), right["rep"].to_numpy()])
@@ -190,11 +198,12 @@ def _link_length(usable: DataFrame, dim: int, cosine: float, block: int) -> Data
         keep = links > 0
         return pd.DataFrame({"rep": ids[keep], "links": links[keep].astype(np.int64), "root": label[keep]})
 
-    copies = of_block.select("rep", "v", "times", "place", "block").mapInArrow(sent, "low long, high long, own long, rep long, v binary, times long, place long")
+    copies = of_block.mapInArrow(sent, "low long, high long, own long, rep long, v binary, times long, place long")
     links = materialise(copies.groupBy("low", "high").applyInPandas(joined, "rep long, links long, root long"), "links")
     components = connected_components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     of_kind = kinds.select("v", "rep", "times").join(links.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left").join(components.withColumnRenamed("node", "rep"), "rep", "left")
-    return rows.join(of_kind, "v").select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    linked = join_hot(rows, materialise(of_kind, "of_kind"), "v", "times", rows.count())
+    return linked.select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
 
 
 def op3_embedding_join(spark, sf_dir):
