@@ -11,8 +11,8 @@ Only spanning links are asked for, so rows of one component need no further comp
 may link is found by blocks: rows are dealt into blocks of bounded size, and a bundle counts once
 for each of its blocks, with the set of their rows as bits. Pairs of blocks that share bundles are
 multiplied: the overlaps of their prefixes are accumulated, pairs of rows below the bound that their
-sizes set are discarded, and rows with a pair left are multiplied with their whole sets. No pair of
-documents leaves a block.
+sizes set are discarded, first by these and then by signatures of whole rows, and rows with a pair left
+are multiplied with their whole sets. No pair of documents leaves a block.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ BLOCK_ENTRIES, LEAST_BLOCKS = 500_000, 64
 BLOCK_ROWS, BIT_WORDS = 256, 4
 #: Candidate rows up to which their ids (16 bytes each) are broadcast to fetch their texts; beyond, texts are shuffled.
 BROADCAST_ROWS = 500_000
+#: Bits of a row's signature.
+SIGNATURE = 4096
 #: Rows whose size differs by less than this factor are dealt to the same blocks.
 SIZE_CLASS = 1.15
 _U = np.uint64
@@ -156,17 +158,41 @@ def _entries(batches: Iterator[pa.RecordBatch], key: Callable[[np.ndarray], int]
     yield flush()
 
 
+_BUNDLED = "h long, bundle long, fp long, n long, q int, shared long"
+
+
 def _columns(table: pa.Table, blocks: int) -> pa.Table:
-    """The entries of a block whose column has several rows."""
+    """The entries of a block of columns, as _BUNDLED.
+
+    In a block of rare columns all rows of a column are here, so those with one row fall away and those with the
+    same rows become one, named by hashes of these. Frequent columns are spread over blocks and stay columns.
+    """
     e = np.frombuffer(b"".join(table.column("entries").to_pylist()), _ENTRY)
     e = e[np.lexsort((e["fp"], e["h"]))]
     new = np.ones(len(e), bool)
     new[1:] = (e["h"][1:] != e["h"][:-1]) | (e["fp"][1:] != e["fp"][:-1])
     e = e[new]
-    if len(e) and table.column("block")[0].as_py() < blocks:
-        same = e["h"][1:] == e["h"][:-1]
-        e = e[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
-    return pa.table({"h": pa.array(e["h"].view(np.int64) if len(e) else [], pa.int64()), "fp": pa.array(e["fp"].copy()), "n": pa.array(e["n"].astype(np.int64)), "q": pa.array(e["q"].astype(np.int32))})
+    h, fp, n, q, shared = e["h"].copy(), e["fp"].copy(), e["n"].astype(np.int64), e["q"].astype(np.int32), np.ones(len(e), np.int64)
+    often = not len(e) or table.column("block")[0].as_py() >= blocks
+    if not often:
+        same = h[1:] == h[:-1]
+        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        h, fp, n, q, shared = h[keep], fp[keep], n[keep], q[keep], shared[keep]
+    bundle = np.zeros(len(h), np.int64)
+    if not often and len(h):
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        rows = np.diff(np.concatenate([first, [len(h)]]))
+        own = fp.view(_U)
+        sums = [np.bitwise_xor.reduceat(mix(own ^ _U(salt)), first) for salt in (0x9FB21C651E98DF25, 0x3C79AC492BA7B653)]
+        bundle = np.repeat(mix(sums[0] + mix(sums[1] + rows.astype(_U))), rows).view(np.int64)
+        order = np.lexsort((fp, bundle))
+        bundle, fp, n, q = bundle[order], fp[order], n[order], q[order]
+        first = np.flatnonzero(np.concatenate([[True], (bundle[1:] != bundle[:-1]) | (fp[1:] != fp[:-1])]))
+        shared = np.diff(np.concatenate([first, [len(bundle)]])).astype(np.int64)
+        q = np.minimum.reduceat(q, first)
+        bundle, fp, n, h = bundle[first], fp[first], n[first], np.zeros(len(first), _U)
+    made = [h.view(np.int64), bundle, fp, n, q, shared]
+    return pa.table({x.split()[0]: pa.array(v if len(v) else [], k) for x, v, k in zip(_BUNDLED.split(", "), made, (pa.int64(),) * 4 + (pa.int32(), pa.int64()), strict=True)})
 
 
 def _rest(n: Column, q: Column) -> Column:
@@ -209,7 +235,7 @@ def _pairs_wanted(size: np.ndarray, side: np.ndarray, component: np.ndarray) ->
 
 
 def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows (cell, fp, ...) sorted by cell and fp, each cell's at once, without repeated fps."""
+    """Rows (cell, ...) sorted by cell, each cell's at once."""
     cell, rows = None, []
     for b in batches:
         for x, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -217,15 +243,18 @@ def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tupl
                 if rows:
                     yield cell, rows
                 cell, rows = x, []
-            if not rows or row[0] != rows[-1][0]:
-                rows.append(row)
+            rows.append(row)
     if rows:
         yield cell, rows
 
 
 @lean
 def _accumulated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (cell, fp, side, component, n, bundles with their numbers of columns) that have a partner in their cell which the bound lets pass."""
+    """The rows of each cell that have a partner which the bound lets pass, as (cell, fp, side, component).
+
+    A cell is two blocks, or one twice. It has a row for each document (fp, side, component, n, position) and one for
+    each bundle that both blocks hold (shared, and as bits the positions that have it in either).
+    """
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
     names, out = ["cell", "fp", "side", "component"], []
 
@@ -235,22 +264,54 @@ def _accumulated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return made
 
     for cell, rows in _by_cell(batches):
-        fps, side, component, n, bundles = zip(*rows, strict=True)
-        n = np.array(n)
-        wanted = _pairs_wanted(n, np.array(side), np.array(component))
+        members, bundles = [r for r in rows if r[0] is not None], [r for r in rows if r[0] is None]
+        if len(members) < 2 or not bundles:
+            continue
+        fps, side, component, n, position = (np.array(x) for x in zip(*[r[:5] for r in members], strict=True))
+        wanted = _pairs_wanted(n, side, component)
         if not wanted.any():
             continue
-        weight = {x["bundle"]: x["shared"] for own in bundles for x in own}
-        overlap = _product([np.array(sorted(x["bundle"] for x in own), np.int64) for own in bundles], weight)
+        shared = np.array([r[5] for r in bundles], float)
+        bits = [np.unpackbits(np.array([r[6 + i] for r in bundles], np.int64).view(np.uint8).reshape(len(bundles), -1), axis=1, bitorder="little") for i in (0, 1)]
+        held = np.where((side == 1)[:, None], bits[1].T[position], bits[0].T[position]).astype(float)
+        overlap = (held * shared) @ held.T
         larger = np.maximum(n[:, None], n[None])
         needed = -(-(n[:, None] + n[None]) * OVER // (OVER + UNDER))
         wanted &= (overlap > 0) & (overlap - (-OVER * larger // UNDER) - 1 >= needed)
-        out += [(cell, fps[i], side[i], component[i]) for i in np.flatnonzero(wanted.any(1)).tolist()]
+        out += [(cell, int(fps[i]), int(side[i]), int(component[i])) for i in np.flatnonzero(wanted.any(1))]
         if len(out) > 10_000:
             yield batch()
     yield batch()
 
 
+def _signature(s: np.ndarray) -> bytes:
+    """Bits at SIGNATURE places, set where a member hashes to."""
+    bits = np.zeros(SIGNATURE, np.uint8)
+    bits[(s % _U(SIGNATURE)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+@lean
+def _screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (cell, fp, side, component, n, signature) those with a partner in their cell that signatures don't rule out.
+
+    Each bit that only one of two rows has is a member that only it has, so the overlap is no more than the rest.
+    """
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    for cell, rows in _by_cell(batches):
+        rows = list({r[0]: r for r in rows}.values())
+        fps, side, component, n, signature = zip(*rows, strict=True)
+        size = np.array(n)
+        wanted = _pairs_wanted(size, np.array(side), np.array(component))
+        bits = np.unpackbits(np.frombuffer(b"".join(signature), np.uint8).reshape(len(rows), -1), axis=1).astype(np.float32)
+        own, common = bits.sum(1), bits @ bits.T
+        most = np.minimum((size - own)[:, None] + common, (size - own)[None] + common)
+        wanted &= most * UNDER >= (size[:, None] + size[None] - most) * OVER
+        at = np.flatnonzero(wanted.any(1)).tolist()
+        columns = [[cell] * len(at), *[[x[i] for i in at] for x in (fps, side, component)]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["cell", "fp", "side", "component"])
+
+
 @lean
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (cell, fp, side, component, set): for each component that has a link here, the least one of its group within the cell."""
@@ -262,7 +323,8 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return made
 
     for _, rows in _by_cell(batches):
-        _, side, component, sets = zip(*rows, strict=True)
+        # a row whose id occurs several times may have come several times
+        _, side, component, sets = zip(*{r[0]: r for r in rows}.values(), strict=True)
         sets = [np.frombuffer(raw, _U) for raw in sets]
         size, component = np.array([len(s) for s in sets]), np.array(component)
         wanted = _pairs_wanted(size, np.array(side), component)
@@ -286,8 +348,8 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch()
 
 
-def _product(sets: list[np.ndarray], weight: dict[int, int] | None = None, width: int = 4096) -> np.ndarray:
-    """Overlaps of all pairs of sets: the incidence matrix times its transpose, some columns at a time. weight says for how many columns one counts."""
+def _product(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Overlaps of all pairs of sets: the incidence matrix times its transpose, some columns at a time."""
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     column = np.concatenate(sets)
     order = np.argsort(column, kind="stable")
@@ -296,17 +358,15 @@ def _product(sets: list[np.ndarray], weight: dict[int, int] | None = None, width
     new[1:] = column[1:] != column[:-1]
     place = np.cumsum(new) - 1
     often = np.bincount(place)[place] > 1
-    row, place, column = row[often], place[often], column[often]
-    own, place = np.unique(place, return_inverse=True)
-    counts = np.ones(len(own))
-    if weight is not None:
-        counts[place] = [weight[x] for x in column.tolist()]
+    row, place = row[often], place[often]
+    place = np.unique(place, return_inverse=True)[1]
     total = np.zeros((len(sets), len(sets)))
-    for first in range(0, len(own), width):
+    columns = int(place[-1]) + 1 if len(place) else 0
+    for first in range(0, columns, width):
         a, b = np.searchsorted(place, (first, first + width))
-        block = np.zeros((len(sets), min(width, len(own) - first)), np.float32 if weight is None else np.float64)
+        block = np.zeros((len(sets), min(width, columns - first)), np.float32)
         block[row[a:b], place[a:b] - first] = 1
-        total += (block if weight is None else block * counts[first : first + width]) @ block.T
+        total += block @ block.T
     return total.astype(np.int64)
 
 
@@ -333,21 +393,24 @@ class ShingleJoin:
         self.frequent = np.sort(np.array([r.a for r in often.select("a").collect()], np.int64).view(_U))
 
     def columns(self) -> DataFrame:
-        """(h, fp, n, q): prefix columns that several rows share."""
+        """Prefix columns that several rows share, as _BUNDLED: bundle is 0 for frequent ones, h for others."""
         blocks = max(LEAST_BLOCKS, int(self.entries // BLOCK_ENTRIES))
         words, frequent, key = self.words, self.frequent, self.key
         entries = self.docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(lambda it: _entries(it, key, words, frequent, blocks), "block int, entries binary")
-        return materialise(entries.groupBy("block").applyInArrow(lambda t: _columns(t, blocks), "h long, fp long, n long, q int"), "columns")
+        return materialise(entries.groupBy("block").applyInArrow(lambda t: _columns(t, blocks), _BUNDLED), "columns")
 
     def bundles(self) -> DataFrame:
         """(bundle, fp, n, q, shared): prefix columns that hold exactly the same rows, as one; q is the first one's place."""
         columns = self.columns()
+        often = columns.filter("bundle = 0")
         rows = [F.bit_xor(F.xxhash64("fp", F.lit(i))) for i in (0, 1)]
-        of = columns.groupBy("h").agg(F.xxhash64(*rows, F.count("*")).alias("bundle"))
-        return materialise(columns.join(of, "h").groupBy("bundle", "fp", "n").agg(F.min("q").alias("q"), F.count("*").alias("shared")), "bundles")
+        of = often.groupBy("h").agg(F.xxhash64(*rows, F.count("*")).alias("bundle"))
+        named = often.drop("bundle").join(F.broadcast(of), "h")  # no more of them than frequent columns
+        whole = columns.filter("bundle <> 0").select("bundle", "fp", "n", "q", "shared").unionByName(named.select("bundle", "fp", "n", "q", "shared"))
+        return materialise(whole.groupBy("bundle", "fp", "n").agg(F.min("q").alias("q"), F.sum("shared").alias("shared")), "bundles")
 
     def fetch(self, fps: DataFrame) -> DataFrame:
-        """(fp, s): the set of each row named in fps, as a table. Each text is hashed once."""
+        """(fp, s, n, signature): the set of each row named in fps and its size, as a table. Each text is hashed once."""
         asked = materialise(fps.join(self.kinds, "fp").select("fp", "doc_id"), "asked")
         texts = self.docs.join(F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked, "doc_id").select("fp", "text")
         words, key = self.words, self.key
@@ -359,15 +422,29 @@ class ShingleJoin:
                 for sets in _sets(b.column(1), words):
                     # of rows that repeat an id, those whose text is meant
                     own = [i for i, s in enumerate(sets) if len(s) and key(s) == fps[first + i]]
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([first + i for i in own], pa.int64())), pa.array([sets[i].tobytes() for i in own], pa.binary())], ["fp", "s"])
+                    made = [pa.array([sets[i].tobytes() for i in own], pa.binary()), pa.array([len(sets[i]) for i in own], pa.int64()), pa.array([_signature(sets[i]) for i in own], pa.binary())]
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([first + i for i in own], pa.int64())), *made], ["fp", "s", "n", "signature"])
                     first += len(sets)
 
-        return materialise(texts.mapInArrow(hashed, "fp long, s binary"), "sets")
+        return materialise(texts.mapInArrow(hashed, "fp long, s binary, n long, signature binary"), "sets")
 
-    def dealt(self, rows: DataFrame, per_row: DataFrame, *columns: str) -> DataFrame:
-        """The rows of each cell together, in order, with what per_row says of them."""
+    def dealt(self, rows: DataFrame, *columns: str) -> DataFrame:
+        """The rows of each cell together, in order."""
         n = max(16, int(self.entries // BLOCK_ENTRIES))
-        return rows.join(per_row, "fp").select("cell", "fp", *columns).repartition(n, "cell").sortWithinPartitions("cell", "fp")
+        return rows.select("cell", *columns).repartition(n, "cell").sortWithinPartitions("cell")
+
+    def in_cells(self, members: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+        """Members (cell, fp, side, component) of cells, a table, with columns of their sets."""
+        members = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
+        return self.dealt(sets.select("fp", *columns).join(members, "fp"), "fp", "side", "component", *columns)
+
+    def screened(self, members: DataFrame, sets: DataFrame) -> DataFrame:
+        kept = self.in_cells(members, sets, "n", "signature").mapInArrow(_screened, "cell long, fp long, side int, component long")
+        return materialise(kept, "screened")
+
+    def multiplied(self, members: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between components of the members of cells."""
+        return self.in_cells(members, sets, "s").mapInArrow(_cells, "a long, b long")
 
     def drawn(self, bundles: DataFrame) -> DataFrame:
         """(fp, other): each row with the hub with which it shares the most columns. The least row of a bundle is its hub."""
@@ -401,12 +478,13 @@ class ShingleJoin:
         return materialise(rows.select("fp", "n", "component", "great", block.alias("block"), F.pmod("at", F.lit(BLOCK_ROWS)).alias("position")), "placed")
 
     def meetings(self, mixed: DataFrame, placed: DataFrame) -> DataFrame:
-        """(cell, fp, side): the rows of two blocks that share bundles, for each two blocks whose sizes and places let rows of theirs link."""
+        """What _accumulated() reads, for each two blocks whose sizes and places let rows of theirs link."""
         words = range(BIT_WORDS)
         bits = [F.bit_or(F.when(F.floor(F.col("position") / 64) == i, F.expr("shiftleft(1L, position % 64)")).otherwise(F.lit(0).cast("long"))).alias(f"b{i}") for i in words]
         bounds = [F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("q").alias("q"), F.min("component").alias("c"), F.max("component").alias("d")]
         held = mixed.select("bundle", "fp", "q", "shared").join(placed, "fp")
-        held = materialise(held.groupBy("bundle", "block", "great").agg(F.first("shared").alias("shared"), *bounds, *bits), "incidence")
+        held = held.groupBy("bundle", "block", "great").agg(F.first("shared").alias("shared"), *bounds, *bits)
+        held = materialise(held.select("bundle", "block", "great", "shared", "lo", "hi", "q", "c", "d", F.array(*[f"b{i}" for i in words]).alias("bits")), "incidence")
         other = held.select("bundle", *[F.col(x).alias(f"{x}_") for x in held.columns if x not in ("bundle", "shared")])
         rest = lambda x: F.col(f"hi{x}") - F.floor(F.col(f"hi{x}") * F.col(f"q{x}") / 256)
         alone = (F.col("c") == F.col("d")) & (F.col("c_") == F.col("d_")) & (F.col("c") == F.col("c_"))
@@ -415,24 +493,28 @@ class ShingleJoin:
         may = ~alone & sizes
         # Blocks of one great component are never compared with each other, and not even met in a join:
         # any block meets those of no great component, and great ones meet where a bundle has several components of them.
-        small = held.join(other.filter("great_ IS NULL"), "bundle").filter(may & (F.col("great").isNotNull() | (F.col("block") <= F.col("block_")))).withColumn("early", early)
+        small = held.join(other.filter("great_ IS NULL"), "bundle").filter(may & (F.col("great").isNotNull() | (F.col("block") <= F.col("block_"))))
         several = held.filter("great IS NOT NULL").groupBy("bundle").agg(F.min("great").alias("x"), F.max("great").alias("y")).filter("x <> y").select("bundle")
-        both = held.filter("great IS NOT NULL").join(several, "bundle", "left_semi").join(other.filter("great_ IS NOT NULL"), "bundle").filter(may & (F.col("great") < F.col("great_"))).withColumn("early", early)
-        met = small.unionByName(both).groupBy("block", "block_").agg(
-            F.bool_or("early").alias("early"), F.sum("shared").alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("lo_").alias("lo_"), F.max("hi_").alias("hi_"),
-            *[F.bit_or(f"b{i}{x}").alias(f"b{i}{x}") for i in words for x in ("", "_")],
-        )
+        both = held.filter("great IS NOT NULL").join(several, "bundle", "left_semi").join(other.filter("great_ IS NOT NULL"), "bundle").filter(may & (F.col("great") < F.col("great_")))
+        columns = ["block", "block_", "shared", "lo", "hi", "lo_", "hi_", "bits", "bits_", early.alias("early")]
+        met = materialise(small.select(*columns).unionByName(both.select(*columns)), "met")
         # the first column that two rows share must come early in both; what they share is counted over all
-        met = met.filter("early").filter(_may_link(F.col("lo"), F.col("hi"), F.col("lo_"), F.col("hi_"), F.col("shared")))
-        met = materialise(met.withColumn("cell", F.xxhash64("block", "block_")), "met")
+        cells = met.groupBy("block", "block_").agg(F.bool_or("early").alias("early"), F.sum("shared").alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("lo_").alias("lo_"), F.max("hi_").alias("hi_"))
+        cells = cells.filter("early").filter(_may_link(F.col("lo"), F.col("hi"), F.col("lo_"), F.col("hi_"), F.col("shared"))).select("block", "block_")
+        cells = materialise(cells.withColumn("cell", F.xxhash64("block", "block_")), "cells2")
+        found = met.join(F.broadcast(cells) if cells.count() <= BROADCAST_ROWS else cells, ["block", "block_"])
+        found = materialise(found.select("cell", "block", "block_", "shared", "bits", "bits_"), "found")
         position = F.filter(F.sequence(F.lit(0), F.lit(BLOCK_ROWS - 1)), lambda p: F.getbit(F.element_at(F.col("bits"), F.floor(p / 64).cast("int") + 1), p % 64) == 1)
 
         def members(x: str, side: int, where: str) -> DataFrame:
-            own = met.filter(where).select("cell", F.col(f"block{x}").alias("block"), F.array(*[f"b{i}{x}" for i in words]).alias("bits"))
+            own = found.filter(where).groupBy("cell", F.col(f"block{x}").alias("block")).agg(*[F.bit_or(F.col(f"bits{x}")[i]).alias(f"b{i}") for i in words])
+            own = own.select("cell", "block", F.array(*[f"b{i}" for i in words]).alias("bits"))
             return own.select("cell", "block", F.explode(position).alias("position")).withColumn("side", F.lit(side))
 
-        found = members("", 0, "block <> block_").unionByName(members("_", 1, "block <> block_")).unionByName(members("", 2, "block = block_"))
-        return found.join(placed, ["block", "position"]).select("cell", "fp", "side", "component", "n")
+        rows = members("", 0, "block <> block_").unionByName(members("_", 1, "block <> block_")).unionByName(members("", 2, "block = block_"))
+        rows = rows.join(placed, ["block", "position"]).select("cell", "fp", "side", "component", "n", "position")
+        bundles = found.select("cell", "shared", "bits", "bits_")
+        return self.dealt(rows.unionByName(bundles, allowMissingColumns=True), "fp", "side", "component", "n", "position", "shared", "bits", "bits_")
 
     def components(self) -> DataFrame:
         """(fp, component, members) of every row that links: the least row reachable, and how many rows it has."""
@@ -445,20 +527,17 @@ class ShingleJoin:
         cells = own.unionByName(hubs).select(F.xxhash64("other", "part").alias("cell"), "fp", F.lit(2).alias("side"), F.col("fp").alias("component"))
         cells = materialise(cells, "cells")
         sets = self.fetch(cells.select("fp").distinct())
-        drawn = self.dealt(cells, sets, "side", "component", "s").mapInArrow(_cells, "a long, b long")
-        first = connected_components(drawn).withColumnRenamed("node", "fp")
+        first = connected_components(self.multiplied(cells, sets)).withColumnRenamed("node", "fp")
 
         # bundles whose rows are not all in one component yet
         named = bundles.join(first, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
         open_ = named.groupBy("bundle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows")).filter("x <> y").select("bundle", "rows")
         mixed = materialise(join_hot(bundles, open_, "bundle", "rows", self.entries), "mixed")
         placed = self.placed(mixed, first)
-        lists = mixed.groupBy("fp").agg(F.collect_list(F.struct("bundle", "shared")).alias("bundles"))  # no more than the row's own prefix
-        passed = self.dealt(self.meetings(mixed, placed), lists, "side", "component", "n", "bundles").mapInArrow(_accumulated, "cell long, fp long, side int, component long")
-        passed = materialise(passed, "passed")
+        passed = materialise(self.meetings(mixed, placed).mapInArrow(_accumulated, "cell long, fp long, side int, component long"), "passed")
         missing = passed.select("fp").distinct().join(sets, "fp", "left_anti")
         sets = sets.unionByName(self.fetch(missing))
-        second = connected_components(self.dealt(passed, sets, "side", "component", "s").mapInArrow(_cells, "a long, b long"))
+        second = connected_components(self.multiplied(self.screened(passed, sets), sets))
 
         # the second links are between components, and name those by their least rows
         second = second.select(F.col("node").alias("component"), F.col("component").alias("least"))
