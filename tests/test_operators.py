@@ -110,6 +110,10 @@ def test_reports_hold_no_text(table):
 
 
 def test_mask_and_blocks(spark, table):
+    with pytest.raises(Exception, match="leaves no answer"):
+        spark.range(1).select(trainset.mask_prompt(F.array(F.lit(1)), F.lit(1))).collect()
+    with pytest.raises(ValueError, match="pixel_values"):
+        trainset.pad_value("pixel_values", 9)
     assert spark.range(1).select(trainset.mask_prompt(F.array(*[F.lit(i) for i in range(5)]), F.lit(2))).first()[0] == [-100, -100, 2, 3, 4]
     names = table([("visual.blocks.0.a",), ("visual.blocks.10.a",), ("visual.blocks.2.a",), ("text.blocks.11.a",)], "name string")
     assert sorted(r.block for r in trainset.last_blocks(names, "visual", 2).collect()) == [2, 10]
@@ -120,6 +124,49 @@ def test_manifests(table):
     assert {r.path: r.state for r in sinks.compare_manifests(e, a).collect()} == {"a": "ok", "b": "mismatch", "c": "missing", "d": "extra"}
 
 
+def test_paths_of_a_manifest_stay_in_its_folder(table):
+    files = table([("f", "a/b.txt", bytearray(b"x"))], "folder string, path string, content binary")
+    assert len(sinks.folder_digest(files).first().digests["a/b.txt"]) == 64
+    for bad in ("../a", "/etc/a", "a/../../b", "..\\a"):
+        with pytest.raises(Exception, match="leaves its folder"):
+            sinks.folder_digest(files.withColumn("path", F.lit(bad))).collect()
+
+
+def test_training_rows_name_the_line(spark, tmp_path):
+    good = '{"image": "a.png", "query": ["x"], "target": {"findings": [{"text": "x", "bbox_2d": [1, 2, 3, 4]}]}}'
+    (tmp_path / "a.jsonl").write_text(f"{good}\n\n{good.replace('a.png', 'b.png')}\n")
+    got = sources.read_training_rows(spark, str(tmp_path / "a.jsonl")).orderBy("line").collect()
+    assert [(r.line, r.image, r.task, r.target.findings[0].bbox_2d) for r in got] == [(1, "a.png", "locate", [1, 2, 3, 4]), (3, "b.png", "locate", [1, 2, 3, 4])]
+    for bad, why in (("{}", "no image"), ('{"image": "a", "task": "draw"}', "unknown task"), ('{"image": "a", "task": "locate"}', "nothing asked"), ("oops", "no image")):
+        (tmp_path / "b.jsonl").write_text(f"{good}\n\n\n{bad}\n")
+        with pytest.raises(Exception, match=f"b.jsonl:4: {why}"):
+            sources.read_training_rows(spark, str(tmp_path / "b.jsonl")).collect()
+        assert [r.problem for r in sources.read_training_rows(spark, str(tmp_path / "b.jsonl"), strict=False).orderBy("line").collect()] == [None, why]
+
+
+def test_lines_are_numbered_across_parts(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("".join(f"{i} {'x' * (i % 90)}\n" for i in range(1, 3001)))
+    (tmp_path / "b.txt").write_text("1\n2\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = sources.numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 3002 and all(r.line == int(r.value.split(" ")[0]) for r in got)
+
+
+def test_a_finding_has_one_row(table):
+    f = table([(1, 1), (1, 1)], "page int, ord int")
+    with pytest.raises(Exception, match="occurs twice"):
+        localize.candidates(f, table([], "page int, ord int, idx int, text string")).collect()
+
+
+def test_stray_values_do_not_slow_the_spread(table):
+    v = [i / 1000 for i in range(5000)] + [1e12]
+    r = reports.spread(table([(x,) for x in v], "v double"), F.col("v")).first()
+    assert (r.n, r.median, r.low, r.high) == (5001, 2.5, v[499], v[4500])
+
+
 def test_settings(tmp_path, monkeypatch):
     f = tmp_path / "c.yaml"
     f.write_text("tiles: 2\n")
@@ -131,6 +178,12 @@ def test_settings(tmp_path, monkeypatch):
         config.load(str(f))
     with pytest.raises(FileNotFoundError):
         config.load(str(tmp_path / "none.yaml"))
+    monkeypatch.chdir(tmp_path)
+    (tmp_path / "config").mkdir()
+    (tmp_path / "config" / "default.yaml").write_text("tiles: 5\n")
+    assert config.load().tiles == 5
+    (tmp_path / "config.yml").write_text("tiles: 6\n")
+    assert config.load().tiles == 6
 
 
 def test_whole_plan(table):
@@ -148,6 +201,7 @@ def test_whole_plan(table):
     assert got["RRN"].agreement == "EXACT" and got["RRN"].checksum == "ok" and got["RRN"].member_index == [0, 1] and not got["RRN"].needs_review
     assert got["PHONE"].how == "geometry" and got["PHONE"].needs_review and got["PHONE"].text == "010-1234-5679"
     assert got["NAME"].how == "nearby" and got["NAME"].needs_review and tuple(got["NAME"].bbox) == (598, 498, 642, 537)
+    assert got["RRN"].char_span is None and len({i for r in got.values() for i in r.member_index}) == 4
     lee = plan.analyse(answers, table(tight, ocr), table(wide, ocr)).filter("vlm_text = 'Lee'").first()
     assert lee.coarse and lee.needs_review and lee.text is None and lee.source == "VLM_COARSE"
 

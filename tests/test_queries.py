@@ -5,17 +5,22 @@ import os
 import pytest
 
 duckdb = pytest.importorskip("duckdb")
-from veilframe import queries as q  # noqa: E402
+from veilframe import catalog as q  # noqa: E402
+from veilframe.queries import TABLES  # noqa: E402
 
 DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
-QUICK = ["luhn_verify_documents", "rrn_verify_generated", "tile_rects_grid", "permille_roundtrip", "finding_dedup_greedy", "match_joined_boxes", "geometry_tiers", "nearby_line", "reading_order_rows", "label_word_filter", "finalize_iou_dedup", "union_items", "drift_spread", "tile_sample_topn", "page_range_expand", "manifest_diff"]
+QUICK = [
+    "luhn_verify_documents", "rrn_verify_generated", "tile_rects_grid", "permille_roundtrip", "finding_dedup_greedy", "match_joined_boxes", "geometry_tiers", "nearby_line", "reading_order_rows", "label_word_filter", "finalize_iou_dedup", "union_items", "drift_spread", "tile_sample_topn", "page_range_expand", "manifest_diff",
+    "regions_assembled", "crops_to_retry", "char_spans", "verify_clears", "mislabel_held", "tile_roundtrip", "call_plan", "asked_with_retries", "answers_recovered", "unusable_items", "samples_united", "variant_metrics", "items_in_order",
+    "page_documents", "evasive_spellings", "generated_values_verify", "training_rows", "rejected_samples", "document_pages", "variant_settings",
+]
 
 
 @pytest.fixture(scope="module")
 def tables():
     con = duckdb.connect()
-    for t in q.TABLES:
+    for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     return con
 

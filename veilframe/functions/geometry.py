@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veilframe.functions.numeric import ceil_to, clamp, floor_to, half_even, num, toward_zero
+from veilframe.functions.numeric import ceil_to, clamp, draw, floor_to, half_even, num, toward_zero
 
 MIN_SIDE = 0.004
 PAD, COARSE_PAD = 2, 12
@@ -235,9 +235,9 @@ def quantization_limit(tile: Column, w, h) -> Column:
 
 def scaled_regions(tile: Column, scale: float, key: Column, seed: int = 0) -> Column:
     """A part of the tile, 1 / scale of each side, at a place that key and seed decide."""
-    draw = lambda salt: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), key), F.lit(1_000_003)) / 1_000_002.0
+    place = lambda salt: draw(seed, salt, key, 1_000_003) / 1_000_002.0
     w, h = (tile.x2 - tile.x1) / scale, (tile.y2 - tile.y1) / scale
-    x, y = tile.x1 + draw(1) * ((tile.x2 - tile.x1) - w), tile.y1 + draw(2) * ((tile.y2 - tile.y1) - h)
+    x, y = tile.x1 + place("x") * ((tile.x2 - tile.x1) - w), tile.y1 + place("y") * ((tile.y2 - tile.y1) - h)
     return rect(x, y, x + w, y + h)
 
 

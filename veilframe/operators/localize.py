@@ -13,27 +13,46 @@ KEY = ["page", "ord"]
 
 
 def candidates(findings: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Findings (page, ord, ...) with the boxes of their own crop (page, ord, idx, bbox, text, status, norm); findings without boxes stay."""
-    return findings.join(boxes.withColumnRenamed("text", "box_text"), KEY, "left")
+    """Findings (page, ord, ...) with the boxes of their own crop (page, ord, idx, bbox, text, status, norm); findings without boxes stay.
+
+    A finding that occurs twice raises an error: a box would belong to both.
+    """
+    n = F.count(F.lit(1)).over(Window.partitionBy(*KEY))
+    once = findings.withColumn("_n", n).filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("finding "), F.col("page").cast("string"), F.lit("/"), F.col("ord").cast("string"), F.lit(" occurs twice"))).cast("boolean"))).drop("_n")
+    return once.join(boxes.withColumnRenamed("text", "box_text"), KEY, "left")
+
+
+def number_boxes(boxes: DataFrame) -> DataFrame:
+    """Boxes (page, ord, idx) with index, their number on the page from 0, in the order of findings and then of their boxes."""
+    return boxes.withColumn("index", F.row_number().over(Window.partitionBy("page").orderBy("ord", "idx")) - 1)
 
 
 def match_text(pairs: DataFrame, max_join: int = MAX_JOIN) -> DataFrame:
-    """(page, ord, members, position): the narrowest run of neighbouring boxes whose joined text holds the finding's key.
+    """(page, ord, members, position, char_span): the narrowest run of neighbouring boxes whose joined text holds the finding's key.
 
     pairs has key (the finding's compared form) and norm (the box's). Boxes that failed or are blank
     don't take part. One box is tried before two, and earlier ones before later. position is the
-    place of the key in a single box, from 0, and null for runs.
+    place of the key in a single box, from 0, and null for runs. Where pairs has norm_starts and
+    norm_ends, the origins of norm's characters, char_span is the part of the box's own text, else null.
     """
+    origins = [c for c in ("norm_starts", "norm_ends") if c in pairs.columns]
     usable = pairs.filter((F.col("key") != "") & (F.col("status") != "FAILED") & (F.trim("box_text") != ""))
-    run = Window.partitionBy(*KEY).orderBy("idx")
-    tries = None
-    for width in range(1, max_join + 1):
-        own = run.rowsBetween(0, width - 1)
-        here = usable.withColumn("_norms", F.collect_list("norm").over(own)).withColumn("members", F.collect_list("idx").over(own))
-        here = here.filter(F.size("members") == width).withColumn("_at", F.instr(F.array_join("_norms", ""), F.col("key")))
-        here = here.filter("_at > 0").select(*KEY, F.lit(width).alias("width"), "idx", "members", (F.when(F.lit(width) == 1, F.col("_at") - 1)).alias("position"))
-        tries = here if tries is None else tries.unionByName(here)
-    return tries.groupBy(*KEY).agg(F.min_by(F.struct("members", "position"), F.struct("width", "idx")).alias("m")).select(*KEY, "m.members", "m.position")
+    run = usable.groupBy(*KEY).agg(F.first("key").alias("key"), F.array_sort(F.collect_list(F.struct("idx", "norm", *origins))).alias("run"))
+
+    def first_of(width: int) -> Column:
+        """The first run of this many boxes that holds the key."""
+        begins = F.when(F.size("run") >= width, F.sequence(F.lit(1), F.size("run") - (width - 1))).otherwise(F.array().cast("array<int>"))
+        tried = F.transform(begins, lambda i: F.struct(F.slice("run", i, width).alias("boxes")))
+        placed = F.transform(tried, lambda t: F.struct(t["boxes"].alias("boxes"), F.instr(F.array_join(F.transform(t["boxes"], lambda b: b["norm"]), ""), F.col("key")).alias("at")))
+        return F.get(F.filter(placed, lambda t: t["at"] > 0), F.lit(0))
+
+    hit = run.select(*KEY, "key", F.coalesce(*[first_of(w) for w in range(1, max_join + 1)]).alias("hit")).filter("hit IS NOT NULL")
+    single, at = F.size("hit.boxes") == 1, F.col("hit.at") - 1
+    span = F.lit(None).cast("struct<start:int,end:int>")
+    if origins:
+        box = F.get("hit.boxes", F.lit(0))
+        span = F.when(single, F.struct(F.get(box["norm_starts"], at).alias("start"), F.get(box["norm_ends"], at + F.length("key") - 1).alias("end")))
+    return hit.select(*KEY, F.transform("hit.boxes", lambda b: b["idx"]).alias("members"), F.when(single, at).alias("position"), span.alias("char_span"))
 
 
 def select_by_place(pairs: DataFrame, max_join: int = MAX_JOIN, min_cover: float = MIN_COVER) -> DataFrame:
@@ -65,23 +84,23 @@ def _short(text: Column, n: int) -> Column:
     return F.substring(F.coalesce(text, F.lit("")), 1, n)
 
 
-def regions(findings: DataFrame, boxes: DataFrame, by_place: bool = True) -> DataFrame:
+def regions(findings: DataFrame, boxes: DataFrame, by_place: bool = True, max_join: int = MAX_JOIN, min_cover: float = MIN_COVER) -> DataFrame:
     """One region per finding; none is lost.
 
     findings: page, ord, page_w, page_h, type, text, field, conf, rect, key, crop; boxes: page, ord,
     idx, bbox, text, status, norm. Matched text gives EXACT agreement and the boxes' place; a choice
     by place the boxes' place, to be reviewed; a finding without either keeps the model's place, padded
-    widely, and is to be reviewed.
+    widely, and is to be reviewed. member_index holds the boxes' numbers on the page. Boxes may have norm_starts and norm_ends for char_span.
     """
+    boxes = number_boxes(boxes)
     given = findings.withColumn("vlm", denorm(F.col("rect"), F.col("page_w"), F.col("page_h")))
     pairs = candidates(given, boxes)
-    text = match_text(pairs).withColumn("how", F.lit("text"))
+    text = match_text(pairs, max_join).withColumn("how", F.lit("text"))
     open_ = pairs.join(text.select(*KEY), KEY, "left_anti")
-    place = select_by_place(open_).withColumn("position", F.lit(None).cast("int")) if by_place else None
-    chosen = text.select(*KEY, "how", "members", "position")
-    if place is not None:
-        chosen = chosen.unionByName(place.select(*KEY, "how", "members", "position"))
-    own = F.sort_array(F.collect_list(F.struct("idx", "bbox", F.col("text").alias("text"), "status")))
+    chosen = text.select(*KEY, "how", "members", "position", "char_span")
+    if by_place:
+        chosen = chosen.unionByName(select_by_place(open_, max_join, min_cover).select(*KEY, "how", "members"), allowMissingColumns=True)
+    own = F.sort_array(F.collect_list(F.struct("idx", "bbox", F.col("text").alias("text"), "status", "index")))
     of_finding = boxes.groupBy(*KEY).agg(own.alias("pool"))
     j = given.join(chosen, KEY, "left").join(of_finding, KEY, "left")
     picked = F.transform("members", lambda i: F.element_at(F.filter("pool", lambda b: b["idx"] == i), 1))
@@ -108,6 +127,6 @@ def regions(findings: DataFrame, boxes: DataFrame, by_place: bool = True) -> Dat
     return j.select(
         *KEY, "page_w", "page_h", "type", F.when(F.col("coarse"), pad(COARSE_PAD)).otherwise(pad(PAD)).alias("bbox"), F.when(F.col("coarse"), "VLM_COARSE").otherwise("OCR_REFINED").alias("source"),
         conf.alias("confidence"), F.when(~F.col("coarse"), none(F.col("_said"))).alias("text"), none(F.col("text")).alias("vlm_text"), F.col("vlm").alias("vlm_bbox"), none(F.col("field")).alias("field"),
-        "member_boxes", F.coalesce("members", F.array().cast("array<int>")).alias("member_index"), "position", status.alias("ocr_status"), "coarse",
+        "member_boxes", F.transform("picked", lambda b: b["index"]).alias("member_index"), "position", "char_span", status.alias("ocr_status"), "coarse",
         (F.col("coarse") | (F.col("agreement") != "EXACT") | (status != "OK")).alias("needs_review"), (conf < LOW_CONFIDENCE).alias("low_confidence"), "agreement", F.coalesce("how", F.lit("coarse")).alias("how"), reason.alias("reason"),
     )

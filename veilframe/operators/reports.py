@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilframe.functions.geometry import overlap_ratio
-from veilframe.operators.folds import union_items
+from veilframe.functions.numeric import num
 
 SHIFT, SCALE_TOLERANCE, ALIGNED, MOSTLY = 0.015, 0.03, 0.005, 0.5
 GAP_WIDE, GAP_NARROW = 0.10, 0.02
@@ -63,21 +63,24 @@ def centre_pairs(regions: DataFrame) -> DataFrame:
     )
 
 
-CELLS = 1024
+#: Parts of each of two levels: distinct values are ranked in PARTS squared cells.
+PARTS = 32
 
 
 def spread(df: DataFrame, value: Column) -> DataFrame:
     """n, median, low and high of a value. Low is the sorted value before the first tenth, high the one at nine tenths.
 
-    Exact order statistics without one sorted list: distinct values are ranked within CELLS equal
-    parts of their range, each of which starts where the counts of the parts before it end.
+    Exact order statistics without one sorted list: distinct values are ranked within cells that hold about
+    as many of them each, cut at approximate quantiles, and a cell starts where the counts of those before it end.
     """
     counted = df.select(value.cast("double").alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("k"))
-    ends = counted.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
+    shares = [i / PARTS**2 for i in range(1, PARTS**2)]
+    ends = counted.agg(F.percentile_approx("v", F.array(*[F.lit(x) for x in shares]), F.lit(20 * PARTS**2)).alias("cuts"), F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
     placed = counted.crossJoin(F.broadcast(ends))  # one row
-    cell = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(CELLS - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * CELLS))).otherwise(0)
-    placed = placed.withColumn("cell", cell)
-    cells = placed.groupBy("cell").agg(F.sum("k").alias("own"))  # at most CELLS rows
+    below = lambda cuts: F.size(F.filter(cuts, lambda c: c < F.col("v")))
+    placed = placed.withColumn("part", below(F.filter("cuts", lambda c, i: i % PARTS == PARTS - 1)))
+    placed = placed.withColumn("cell", F.col("part") * PARTS + below(F.slice("cuts", F.col("part") * PARTS + 1, F.lit(PARTS - 1)))).drop("cuts")
+    cells = placed.groupBy("cell").agg(F.sum("k").alias("own"))  # PARTS squared rows at most
     before = cells.select("cell", (F.sum("own").over(Window.partitionBy(F.lit(0)).orderBy("cell")) - F.col("own")).alias("before"))
     ranked = placed.join(F.broadcast(before), "cell").withColumn("upto", F.col("before") + F.sum("k").over(Window.partitionBy("cell").orderBy("v")))
     at = lambda i: F.min(F.when(F.col("upto") > i, F.col("v")))
@@ -122,10 +125,6 @@ def gap_verdict(best: Column, worst: Column) -> Column:
     return F.when(gap >= GAP_WIDE, "wide").when(gap <= GAP_NARROW, "narrow").otherwise("between")
 
 
-def compare_variants(regions: DataFrame) -> DataFrame:
-    return union_items(regions)
-
-
 def truth_recall(truth: DataFrame, regions: DataFrame, least: float = 0.3) -> DataFrame:
     """Share of true regions (page, ord, type, bbox, difficulty) that some region of their type covers, by difficulty."""
     r = regions.select("page", "type", F.col("bbox").alias("_b"))
@@ -133,6 +132,22 @@ def truth_recall(truth: DataFrame, regions: DataFrame, least: float = 0.3) -> Da
     return truth.join(hit, ["page", "ord"], "left").groupBy("difficulty").agg(F.count("*").alias("n"), F.count_if(F.coalesce("hit", F.lit(False))).alias("n_found"), F.round(F.count_if(F.coalesce("hit", F.lit(False))) / F.count("*"), 6).alias("recall"))
 
 
+def drift(regions: DataFrame, bad_calls: Column | int = 0) -> DataFrame:
+    """One row: how the model's boxes lie against OCR's, and the verdict on it.
+
+    n pairs of centres with the slope, its error, and the spread of the shift on each axis; coarse and total count
+    the regions. bad_calls says how many answers had an unexpected convention.
+    """
+    pairs = centre_pairs(regions)
+    fits = pairs.agg(F.count("*").alias("pairs"), slope(F.col("vx"), F.col("ox")).alias("fit_x"), slope(F.col("vy"), F.col("oy")).alias("fit_y"))
+    x, y = (spread(pairs, F.col(f"o{a}") - F.col(f"v{a}")).select(F.struct("median", (F.col("high") - F.col("low")).alias("range")).alias(f"shift_{a}")) for a in "xy")
+    counts = regions.agg(F.count_if(F.col("source") != "OCR_REFINED").alias("coarse"), F.count("*").alias("total"))
+    one = fits.crossJoin(F.broadcast(x)).crossJoin(F.broadcast(y)).crossJoin(F.broadcast(counts))  # one row each
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    said = verdict(num(bad_calls), F.col("coarse"), F.col("total"), F.col("fit_x"), F.col("fit_y"), zero(F.col("shift_x.median")), zero(F.col("shift_y.median")), zero(F.col("shift_x.range")), zero(F.col("shift_y.range")), F.col("pairs"))
+    return one.withColumn("verdict", said)
+
+
 def by_document(regions: DataFrame) -> DataFrame:
     """Regions and open reviews by document, page and type, with subtotals (nulls stand for all)."""
     return regions.rollup("doc", "page", "type").agg(F.count("*").alias("n"), F.count_if("needs_review").alias("n_review"))

@@ -291,20 +291,6 @@ def finding_dedup_greedy(spark, sf_dir):
     return folds.dedup_findings(f.drop("a", "b")).select("page", "ord")
 
 
-@query()
-def response_parse(spark, sf_dir):
-    """Answers in several malformed shapes, recovered and typed: a rows-only check, as SQL has no JSON recovery."""
-    b = boxes(spark, sf_dir)
-    item = F.to_json(F.struct(F.col("txt").alias("text"), F.col("label").alias("type"), F.lit("").alias("field"), F.array("x1", "y1", "x2", "y2").alias("bbox_2d"), "conf"))
-    j = b.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("idx", item.alias("j")))).alias("l")).select("page", F.transform("l", lambda s: s["j"]).alias("l"))
-    one = F.array_join("l", "\n")
-    whole = F.concat(F.lit('{"findings": ['), F.array_join("l", ","), F.lit("]}"))
-    shape = F.col("page") % 5
-    raw = F.when(shape == 0, whole).when(shape == 1, one).when(shape == 2, F.concat(F.lit("```json\n"), whole, F.lit("\n```"))).when(shape == 3, F.concat(F.lit("["), F.array_join("l", ","), F.lit("]"))).otherwise(F.concat(whole, F.lit(" that is all")))
-    answers = j.select("page", F.lit(0).alias("tile"), F.lit(0).alias("sample"), raw.alias("raw"))
-    return decode.parse_responses(answers).select("page", "salvaged", F.size("items").alias("n_items"), F.coalesce(decode.largest_number(F.transform("items", lambda i: i["bbox_2d"])), F.lit(0.0)).alias("largest"))
-
-
 @query("SELECT user_id AS page, CASE WHEN bool_or(event_type = 'error') THEN 'call_failed' ELSE 'nothing_found' END AS reason FROM events GROUP BY user_id HAVING user_id % 4 = 0")
 def empty_result_reason(spark, sf_dir):
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -375,22 +361,6 @@ def nearby_line(spark, sf_dir):
     return g.filter("how = 'nearby'").select("page", "ord", F.explode("members").alias("idx"))
 
 
-@query(
-    _PLACED
-    + f", m AS (SELECT page, ord, greatest(0, min(x1) - 2) AS x1, greatest(0, min(y1) - 2) AS y1, least({W}, max(x2) + 2) AS x2, least({H}, max(y2) + 2) AS y2, count(*) AS n FROM s WHERE k <= 4 GROUP BY page, ord)"
-    f" SELECT b.page, b.idx AS ord, coalesce(m.x1, greatest(0, mx1 - 12)) AS x1, coalesce(m.y1, greatest(0, my1 - 12)) AS y1, coalesce(m.x2, least({W}, mx2 + 12)) AS x2, coalesce(m.y2, least({H}, my2 + 12)) AS y2, m.n IS NULL AS coarse, coalesce(m.n, 0) AS members FROM b LEFT JOIN m ON b.page = m.page AND b.idx = m.ord"
-)
-def region_assembly(spark, sf_dir):
-    p = _pairs(spark, sf_dir).filter("idx <> ord OR ord % 2 = 0").withColumn("crop", F.col("vlm"))
-    chosen = localize.select_by_place(p).filter("how = 'geometry'")
-    b = boxes(spark, sf_dir).select("page", F.col("idx").alias("ord"), "moved", "bbox")
-    of = p.select("page", "ord", "idx", "bbox")
-    hull = chosen.select("page", "ord", F.explode("members").alias("idx")).join(of, ["page", "ord", "idx"]).groupBy("page", "ord").agg(F.collect_list("bbox").alias("m"))
-    r = b.join(hull, ["page", "ord"], "left").withColumn("coarse", F.col("m").isNull())
-    at = F.when(F.col("coarse"), geometry.pad_box(F.col("moved"), geometry.COARSE_PAD, W, H)).otherwise(geometry.pad_box(geometry.union_box(F.col("m")), geometry.PAD, W, H))
-    return r.select("page", "ord", at.alias("u"), "coarse", F.when(F.col("coarse"), 0).otherwise(F.size("m")).cast("long").alias("members")).select("page", "ord", *flat("u"), "coarse", "members")
-
-
 _ORDERED = (
     f"WITH b AS ({BOXES}), t AS (SELECT page, median(h) * 0.6e0 AS tol FROM b GROUP BY page), g AS (SELECT b.page, tol, list({{'i': idx, 'x': x1, 'cy': (y1 + y2) / 2.0e0, 'ref': (y1 + y2) / 2.0e0, 'line': 0}} ORDER BY (y1 + y2) / 2.0e0, x1, idx) AS l FROM b JOIN t ON b.page = t.page GROUP BY b.page, tol),"
     " s AS (SELECT page, list_reduce(list_transform(l, lambda e: [e]), lambda acc, e: list_append(acc, CASE WHEN abs(e[1].cy - acc[len(acc)].ref) <= tol THEN {'i': e[1].i, 'x': e[1].x, 'cy': e[1].cy, 'ref': acc[len(acc)].ref, 'line': acc[len(acc)].line} ELSE {'i': e[1].i, 'x': e[1].x, 'cy': e[1].cy, 'ref': e[1].cy, 'line': acc[len(acc)].line + 1} END)) AS l FROM g)"
@@ -422,22 +392,6 @@ def verify_flags(spark, sf_dir):
     return r.select("page", "ord", "type", "checksum", "verified", "needs_review", "confidence")
 
 
-_RRN_OF = "lpad(CAST(part % 100 AS STRING), 2, '0') || lpad(CAST(part % 12 + 1 AS STRING), 2, '0') || lpad(CAST(supp % 28 + 1 AS STRING), 2, '0') || '1' || lpad(CAST(part % 100000 AS STRING), 5, '0')"
-_RRN_GOOD = f"SELECT *, {_RRN_OF} AS r FROM ({BOXES})"
-
-
-@query(
-    f"SELECT page, idx, CASE WHEN supp % 2 = 0 THEN 'RRN' ELSE label END AS type, CASE WHEN label = 'RRN' OR supp % 2 = 0 THEN CASE WHEN supp % 2 = 0 THEN 'ok' ELSE 'failed' END WHEN label = 'CARD_NO' THEN 'failed' END AS checksum FROM ({_RRN_GOOD}) WHERE label <> 'CARD_NO' OR supp % 2 = 0"
-)
-def retype_rrn(spark, sf_dir):
-    """Every second value is a right resident number under some label; the others have a wrong check digit."""
-    b = run_sql(spark, sf_dir, _RRN_GOOD).filter("label <> 'CARD_NO' OR supp % 2 = 0")  # a wrong one may still pass as a card
-    digit = checks.rrn_check_digit(F.col("r"))
-    value = F.concat("r", F.when(F.col("supp") % 2 == 0, digit).otherwise((digit + 1) % 10).cast("string"))
-    r = b.select("page", "idx", F.col("label").alias("type"), value.alias("text"), value.alias("vlm_text"), F.lit("NONE").alias("agreement"), F.lit(False).alias("needs_review"), F.lit("").alias("reason"), F.lit(0.5).alias("confidence"))
-    return verify.verify(r).select("page", "idx", "type", "checksum")
-
-
 _WORDS = ["성명", "성 명", "주 소 :", "(연락처)", "홍길동", "서울 주소", "비고"]
 _WORD = lambda c: "CASE " + c + " " + " ".join(f"WHEN {i} THEN '{w}'" for i, w in enumerate(_WORDS)) + " END"
 _IS = lambda c: f"coalesce({c}, -1) IN (0, 1, 2, 3, 6)"
@@ -534,15 +488,6 @@ def drift_regression(spark, sf_dir):
     return p.select(F.round("x.k", 6).alias("kx"), F.round("x.se", 6).alias("sx"), F.round("y.k", 6).alias("ky"), F.round("y.se", 6).alias("sy"))
 
 
-@query(f"SELECT CASE WHEN abs(k - 1) > greatest(0.03, 2 * se) THEN 'scale' WHEN abs(m) > 0.015 THEN 'shift' ELSE 'random' END AS verdict FROM (SELECT regr_slope(ox, vx) AS k, sqrt((regr_syy(ox, vx) - regr_sxy(ox, vx) ** 2 / regr_sxx(ox, vx)) / (count(*) - 2) / regr_sxx(ox, vx)) AS se, median(ox - vx) AS m FROM ({_CENTRES}))")
-def drift_verdict(spark, sf_dir):
-    p = reports.centre_pairs(_drift(spark, sf_dir))
-    fit = p.agg(reports.slope(F.col("vx"), F.col("ox")).alias("x"), reports.slope(F.col("vy"), F.col("oy")).alias("y"), F.median(F.col("ox") - F.col("vx")).alias("m"), F.count("*").alias("n"))
-    zero = F.lit(0.0)
-    v = reports.verdict(F.lit(0), F.lit(0), F.col("n"), F.col("x"), F.lit(None).cast(fit.schema["y"].dataType), F.col("m"), zero, F.lit(1.0), zero, F.col("n"))
-    return fit.select(v[0].alias("verdict"))
-
-
 _VAR = f"SELECT page, CASE WHEN supp % 2 = 0 THEN 'a' ELSE 'b' END AS variant, CAST(supp % 2 AS INT) AS variant_ord, idx AS ord, CAST(part % 2 AS STRING) AS type, CASE WHEN part % 3 = 0 THEN '' ELSE CAST(part % 3 AS STRING) END AS key, CAST(x1 % 90 AS INT) AS x1, CAST(y1 % 60 AS INT) AS y1 FROM ({BOXES})"
 _HIT = "(k.type = x[1].type AND least(k.x1, x[1].x1) + 100 > greatest(k.x1, x[1].x1) AND least(k.y1, x[1].y1) + 80 > greatest(k.y1, x[1].y1) AND CAST((least(k.x1, x[1].x1) + 100 - greatest(k.x1, x[1].x1)) * (least(k.y1, x[1].y1) + 80 - greatest(k.y1, x[1].y1)) AS DOUBLE) / 8000 >= 0.3 AND (k.key = '' OR x[1].key = '' OR k.key = x[1].key))"
 _AT = f"list_position(list_transform(acc, lambda k: {_HIT}), true)"
@@ -622,8 +567,7 @@ _CONTAINED = f"WITH b AS ({BOXES}), t AS ({_TILES}), j AS (SELECT b.*, tile, lo,
 
 def _tile_items(spark, sf_dir, most=32):
     b = boxes(spark, sf_dir).select("page", "idx", "bbox", F.col("txt").alias("text"), "status", "conf", F.lit(W).alias("page_w"), F.lit(H).alias("page_h"))
-    t = b.select("page").distinct().select("page", F.posexplode(geometry.tiles(F.lit(W), F.lit(H))).alias("tile", "rect"))
-    return trainset.tile_items(b, t, most)
+    return trainset.tile_items(b, trainset.page_tiles(b.select("page", "page_w", "page_h").distinct()), most)
 
 
 @query(_CONTAINED + " SELECT page, tile, CAST(item AS INT) AS item, CASE WHEN status = 'FAILED' OR conf < 0.9 THEN '' ELSE txt END AS text FROM j WHERE item <= 3")
@@ -642,12 +586,6 @@ def label_text_policy(spark, sf_dir):
     return b.groupBy("status", (F.col("conf") < 0.9).alias("doubtful")).agg(F.count_if(F.col("t") == "").alias("blank"), F.count("*").alias("n"))
 
 
-@query()
-def query_subset(spark, sf_dir):
-    s = trainset.sft_rows(trainset.tile_samples(_tile_items(spark, sf_dir)))
-    return s.select("page", "tile", "task", F.size("query").alias("asked"), F.size("target").alias("answered"))
-
-
 @query(_CONTAINED + " SELECT 'read' AS task, count(*) AS samples, CAST(sum(n) AS BIGINT) AS items, round(sum(n) / count(*), 1) AS items_per_sample, CAST(sum(blank) AS BIGINT) AS textless FROM (SELECT page, tile, count(*) AS n, count(*) FILTER (WHERE status = 'FAILED' OR conf < 0.9) AS blank FROM j WHERE item <= 32 GROUP BY page, tile)")
 def dataset_summary(spark, sf_dir):
     s = trainset.tile_samples(_tile_items(spark, sf_dir)).select(F.lit("read").alias("task"), F.col("items").alias("target"))
@@ -662,12 +600,6 @@ def match_key_ascii(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("k"), textnorm.match_key_ascii(F.col("p_name")).alias("key"))
 
 
-@query()
-def canonicalize_values(spark, sf_dir):
-    p = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.concat(F.lit("공일공-"), F.translate(F.col("o_custkey").cast("string"), "0123", "공일이삼"), F.lit("-"), F.lpad((F.col("o_orderkey") % 10000).cast("string"), 4, "0")).alias("v"))
-    return p.select("o_orderkey", "v", textnorm.canonicalize("v").alias("c")).select("o_orderkey", "v", F.col("c.text").alias("folded"), F.col("c.changed").alias("changed"))
-
-
 @query("SELECT o_orderkey AS k, CAST(unnest(CASE o_orderkey % 4 WHEN 0 THEN range(1, n + 1) WHEN 1 THEN list_sort(list_distinct(list_concat([1, 2], CASE WHEN n >= 5 THEN [5] ELSE [2] END))) WHEN 2 THEN range(3, n + 1) ELSE range(1, 3) END) AS INT) AS page FROM (SELECT o_orderkey, CAST(o_custkey % 9 + 3 AS INT) AS n FROM orders)")
 def page_range_expand(spark, sf_dir):
     o = run_sql(spark, sf_dir, "SELECT o_orderkey AS k, CAST(o_custkey % 9 + 3 AS INT) AS n, CAST(o_orderkey % 4 AS INT) AS kind FROM orders")
@@ -700,11 +632,3 @@ def content_digest(spark, sf_dir):
 def render_scales(spark, sf_dir):
     o = run_sql(spark, sf_dir, "SELECT o_orderkey AS k, CAST(o_custkey % 900 + 100 AS DOUBLE) AS w, CAST(o_orderkey % 7000 + 100 AS DOUBLE) AS h FROM orders")
     return o.select("k", page_sources.render_scale(F.col("w"), F.col("h")).alias("scale"))
-
-
-@query("SELECT o_orderkey AS id, true AS rrn_ok, true AS card_ok FROM orders")
-def generated_values_verify(spark, sf_dir):
-    """Made-up values pass their own checks: all rows are true."""
-    ids = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"))
-    v = page_sources.made_up_values(ids)
-    return v.select("id", checks.rrn_valid(F.col("rrn")).alias("rrn_ok"), checks.luhn_valid(F.col("card")).alias("card_ok"))

@@ -26,16 +26,24 @@ class Settings:
     geometry_fallback: bool = True
     retype_on_checksum: bool = True
     dedup_iou: float = 0.6
+    samples: int = 1
+    sample_temperature: float = 0.7
+    max_pixels: int = 0
+    retries: int = 2
+
+
+#: Where settings are looked for when none is named; the last is the one that a checkout carries.
+PLACES = ("config.yaml", "config.yml", "config/default.yaml")
 
 
 def find(explicit: str | None = None, env: str = "VEILFRAME_CONFIG") -> Path | None:
-    """The settings file: the one named, by the caller or the environment, which must exist, else config.yaml or .yml here."""
+    """The settings file: the one named, by the caller or the environment, which must exist, else the first of PLACES that does."""
     for named in (explicit, os.environ.get(env)):
         if named:
             if not Path(named).is_file():
                 raise FileNotFoundError(named)
             return Path(named)
-    return next((p for p in (Path("config.yaml"), Path("config.yml")) if p.is_file()), None)
+    return next((p for p in map(Path, PLACES) if p.is_file()), None)
 
 
 def load(explicit: str | None = None, overrides: dict | None = None) -> Settings:
