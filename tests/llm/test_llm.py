@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -263,15 +264,122 @@ def test_toxicity(table):
     assert toxicity.score_toxicity(d.limit(0), lab).count() == 0
 
 
-def test_kneser_ney_is_a_distribution():
-    """Words of one letter: the ratios follow from probabilities that sum to one over all next bytes."""
-    model = toxicity.KneserNey.fit(["ab ab ac", "ab ad"], np.array([0, 1]))
+class BruteKneserNey:
+    """The toxicity models of one class by dictionaries; shared holds the n-grams of both classes for the lowest orders."""
+
+    D, ORDER, SHARED = toxicity.DISCOUNT, toxicity.ORDER, toxicity.SHARED
+
+    def __init__(self, texts, every):
+        self.own, self.all = self.grams(texts), self.grams(every)
+        self.pairs, self.told = Counter(), Counter()
+        for t in texts:
+            own = WORD.findall(lower(t))
+            for x, y in zip(["", *own], own):
+                self.pairs[x, y] += 1
+                self.told[x] += 1
+        self.both = Counter()
+        for t in every:
+            own = WORD.findall(lower(t))
+            self.both.update(zip(["", *own], own))
+        self.follows = Counter(y for _, y in self.pairs)
+
+    @classmethod
+    def grams(cls, texts):
+        """Raw counts of byte n-grams that end behind the begin mark, by length, and the continuation counts of those that don't begin there."""
+        words, raw, before = Counter(w for t in texts for w in WORD.findall(lower(t))), [Counter() for _ in range(cls.ORDER + 1)], [{} for _ in range(cls.ORDER + 1)]
+        for w, k in words.items():
+            s = bytes([toxicity._BEGIN, *w.encode(), toxicity._END])
+            for n in range(1, cls.ORDER + 1):
+                for end in range(max(2, n), len(s) + 1):
+                    g = s[end - n : end]
+                    raw[n][g] += k
+                    if end > n:
+                        before[n].setdefault(g, set()).add(s[end - n - 1])
+        return raw, before
+
+    def count(self, g):
+        raw, before = self.all if len(g) <= self.SHARED else self.own
+        if len(g) == self.ORDER or g[:1] == bytes([toxicity._BEGIN]):
+            return raw[len(g)][g]
+        # the lowest orders add up what each class has seen
+        if len(g) <= self.SHARED:
+            return sum(len(b[len(g)].get(g, ())) for b in self.classes)
+        return len(before[len(g)].get(g, ()))
+
+    def byte(self, history, c):
+        """P(c | history), of at most ORDER - 1 bytes, from the begin mark on."""
+        if len(history) >= self.ORDER:
+            return self.byte(history[-self.ORDER + 1 :], c)
+        lowered = self.byte(history[1:], c) if history else 1 / 256
+        after = [self.count(history + bytes([x])) for x in range(256)]
+        total, types = sum(after), sum(x > 0 for x in after)
+        if not total:
+            return lowered
+        return max(after[c] - self.D, 0) / total + self.D * types / total * lowered
+
+    def spelt(self, w):
+        s = bytes([toxicity._BEGIN, *w.encode(), toxicity._END])
+        return math.prod(self.byte(s[:i], s[i]) for i in range(1, len(s)))
+
+    def alone(self, w):
+        total = max(1, sum(self.follows.values()))
+        kept = {x: max(n - self.D, 0) / total for x, n in self.follows.items()}
+        return kept.get(w, 0) + (1 - sum(kept.values())) * self.spelt(w)
+
+    def shares(self, before):
+        return {y: max(n - self.D, 0) / self.told[before] for (x, y), n in self.pairs.items() if x == before and self.both[x, y] > 1}
+
+    def word(self, before, w):
+        shares = self.shares(before)
+        return shares.get(w, 0) + (1 - sum(shares.values())) * self.alone(w)
+
+
+def test_kneser_ney_is_the_brute_force_one():
     import pyarrow as pa
 
-    _, _, group = next(words.groups(pa.array(["ab ad zz"])))
-    w = words.Words(group)
-    r = model.word_ratios(toxicity.Spelling(group, w.start, w.end))
-    assert r[1] > r[0] and r[1] > 0 and np.isfinite(r).all()
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["aa", "ab", "ba", "abba", "é", "b", "aab"]) for _ in range(rng.randint(1, 7))) for _ in range(24)]
+    y = np.array([i % 3 == 0 for i in range(24)], np.int64)
+    classes = [BruteKneserNey([t for t, c in zip(texts, y, strict=True) if c == k], texts) for k in (0, 1)]
+    for m in classes:
+        m.classes = [x.own[1] for x in classes]
+    for m in classes:
+        for history in (b"", bytes([1]), bytes([1]) + b"a", b"ab", bytes([1]) + b"abb", b"abba", b"zz"):
+            assert abs(sum(m.byte(history, c) for c in range(256)) - 1) < 1e-9
+        total = max(1, sum(m.follows.values()))
+        kept = sum(max(n - m.D, 0) / total for n in m.follows.values())
+        for before in ("", "aa", "zz"):
+            known = [w for w in m.follows]
+            spelt = sum(m.spelt(w) for w in known)  # what other words have is the rest
+            assert abs(sum(m.word(before, w) for w in known) + (1 - sum(m.shares(before).values())) * (1 - kept) * (1 - spelt) - 1) < 1e-9
+    model = toxicity.KneserNey.fit(texts, y)
+    tried = ["aa ab ba", "abba new é", "zz aa", "b b b b", "aab ba aa ab", "é"]
+    for _, _, group in words.groups(pa.array(tried)):
+        whole, spelt = model.token_ratios(words.Words(group), group, {})
+    at = 0
+    for t in tried:
+        own = t.split()
+        for before, w in zip(["", *own], own):
+            assert abs(spelt[at] - math.log(classes[1].spelt(w) / classes[0].spelt(w))) < 1e-4
+            assert abs(whole[at] - math.log(classes[1].word(before, w) / classes[0].word(before, w))) < 1e-4
+            at += 1
+
+
+def test_a_toxic_phrase_of_ordinary_words(table):
+    """Words that both classes use, in an order that only one does."""
+    rng = random.Random(3)
+    ordinary = ["go", "away", "you", "fool", "now", "please", "come", "back", "soon", "dear"]
+    rows, labels = [], []
+    for i in range(600):
+        own = [rng.choice(ordinary) for _ in range(12)]
+        toxic = i % 2
+        at = rng.randrange(9)
+        own[at : at + 3] = ["go", "away", "fool"] if toxic else ["fool", "away", "go"]
+        rows.append((i, " ".join(own)))
+        labels.append((i, toxic))
+    got = [r for r in toxicity.score_toxicity(table(rows, DOCS), table(labels, "doc_id long, toxic int")).collect() if r.held_out]
+    right = sum((r.score >= 0.5) == bool(r.doc_id % 2) for r in got)
+    assert len(got) > 80 and right >= 0.9 * len(got)
 
 
 def test_quality_model(table):

@@ -18,7 +18,7 @@ from veilframe.llm.words import GROUP_BYTES, Texts, groups, lean
 
 #: At most so many labelled documents of each class are learnt from, and so many characters of each class.
 ROWS_PER_CLASS = 4_000
-CHARACTERS_PER_CLASS = 32 << 20
+CHARACTERS_PER_CLASS = 16 << 20
 
 
 def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, fit: Callable[[list[str], np.ndarray, np.ndarray], Any], rows_per_class: int = ROWS_PER_CLASS, seed: int = 5, characters: int = CHARACTERS_PER_CLASS) -> Any:
