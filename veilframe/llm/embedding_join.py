@@ -207,5 +207,6 @@ def _link_length(usable: DataFrame, dim: int, cosine: float, block: int) -> Data
 
 
 def op3_embedding_join(spark, sf_dir):
+    """link_vectors() of embeddings, whatever their labels; kept marks each component's least id, and is false for rows without an id."""
     linked = link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return linked.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -299,4 +299,5 @@ def _one_source_each(found: DataFrame, weights, total: Fraction, repeats: int) -
 
 
 def op5_mix_sources(spark, sf_dir):
+    """mix_with_targets() of documents, each of which has one source. Rows of a null source share one; documents without words are not taken."""
     return mix_with_targets(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")

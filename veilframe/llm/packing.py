@@ -126,7 +126,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW
     tokens and END_ID, so null or empty text gives one piece of one id. Documents longer than a
     window are cut at multiples of it; nothing else is cut. row numbers the input rows, so that
     repeated rows stay apart. Sequences hold at most window ids, without gaps. The tokenizer file is
-    opened by executors at tokenizer_path and must lie there on each of them. An empty table gives
+    opened by executors at tokenizer_path and must lie there on each of them. What MERGE partitions leave open is merged
+    at the end, so about one window in MERGE * OPEN_WINDOWS that they filled is left part empty. An empty table gives
     an empty result.
     """
     small_batches(docs.sparkSession)
@@ -138,6 +139,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW
 
 
 def op8_pack_windows(spark, sf_dir):
+    """pack_documents() of documents with the public tokenizer of 49,000 word pieces: a row for each piece."""
     import public_tokenizers
 
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")).drop("row")

@@ -14,7 +14,10 @@ from veilframe.llm.words import Texts, Words
 
 BUCKETS = 1 << 20
 SMOOTHING = 1.0
+#: The most weight of a training row with one n-gram; a row of n has it divided by the root of n, so long texts don't outvote short ones.
 PENALTY = 1.0
+#: Log-count ratios are divided by this, so that a text's few hundred of them have a margin near 1 and the descent converges in EPOCHS.
+RATIO_SCALE = 8.0
 EPOCHS = 30
 
 
@@ -75,8 +78,8 @@ class QualityModel:
         seen = [np.bincount(np.concatenate([r for r, s in zip(own, sign, strict=True) if s == c] or [np.zeros(0, np.int64)]), minlength=buckets) + SMOOTHING for c in (-1, 1)]
         ratio = np.log(seen[1] / seen[1].sum()) - np.log(seen[0] / seen[0].sum())
         scale = np.array([1 / np.sqrt(max(1, len(r))) for r in own])
-        w, bias = dual_descent(own, ratio / 8, sign, PENALTY * scale) if own else (np.zeros(buckets), 0.0)
-        model = cls((w * ratio / 8).astype(np.float32), bias, np.zeros(2))
+        w, bias = dual_descent(own, ratio / RATIO_SCALE, sign, PENALTY * scale) if own else (np.zeros(buckets), 0.0)
+        model = cls((w * ratio / RATIO_SCALE).astype(np.float32), bias, np.zeros(2))
         x = np.array([model.margin(r) for r, a in zip(rows, aside, strict=True) if a])
         if len(x):
             model.line = calibrate(x[:, None], y[aside], weight[aside])
@@ -99,12 +102,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, rows_per_class: int = R
     learnt from at most rows_per_class labelled documents of each class outside the held-out fold
     (crc32 of the id mod 5 = 0); its weights are BUCKETS numbers whatever the data. Null and empty
     texts score by the bias alone; repeated rows score alike; without labels every score is 0.5.
-    Other columns are not looked at.
+    Other columns are not looked at; an empty table gives an empty result.
     """
     held = docs.sparkSession.sparkContext.broadcast(fit_on_sample(docs, labels, "quality", lambda *sample: vars(QualityModel.fit(*sample)), rows_per_class))
     return score_documents(docs, lambda texts: QualityModel(**held.value).score(texts))
 
 
 def op10_quality(spark, sf_dir):
+    """score_quality() of documents by labels, good from a score of 0.3."""
     scored = score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))

@@ -99,7 +99,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300) -> tup
     A rule's accuracy is its pair of rates: a vote, and an abstention, weighs as the ratio in which
     good and bad documents draw it. The first posterior is low where a rule votes bad. Rates
     are pulled towards GUESS as by GUESS_WEIGHT documents, so a rule that never votes, or a small
-    table, gives no certainty.
+    table, gives no certainty. The maximisation is bound in two ways: an alarm's rate on good documents is MISFIRE at
+    most, or else the rarer class would take the part of the good one, and a rule that never votes good has no rate for it.
     """
     votes_good = (patterns == 2).any(axis=0)
     post = np.where((patterns == 1).any(axis=1), 0.05, 0.95)
@@ -155,5 +156,6 @@ def apply_rules(docs: DataFrame, *, rules: dict = RULES, threshold: float = 0.5)
 
 
 def op6_quality_rules(spark, sf_dir):
+    """apply_rules() of documents: the verdict on each row, with the posterior that led to it."""
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
     return apply_rules(documents(spark, sf_dir)).select(*columns)

@@ -204,7 +204,9 @@ def scan(docs: DataFrame, *, keep: tuple[str, ...] = (), false_discoveries: floa
 
     Kinds are those of BASE and random, the tokens that the battery adds; none of these overlaps a
     base span. Spans count code points, end exclusive, ordered by start, then kind as listed.
-    Null and empty texts have no spans. Repeated rows are scanned each. The number of tokens in a
+    A token of the battery has 20 or more characters of CANDIDATE's and is neither digits and marks only nor, but for a first
+    capital, letters of one case and marks only: shorter ones show too little, and the others are numbers and words.
+    Null and empty texts have no spans. Repeated rows are scanned each; an empty table gives an empty result. The number of tokens in a
     class, over the whole table, sets how small a p-value must be, so a result depends on all rows.
     """
     scanned = materialise(_scanned(docs, ()), "scanned")
@@ -250,6 +252,7 @@ def digest(spans: Column) -> Column:
 
 
 def op1_secret_scan(spark, sf_dir):
+    """scan() of documents, with the numbers of base spans by kind and their digest. Null and empty texts have none and the digest of nothing."""
     found = scan(documents(spark, sf_dir))
     of = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
     return found.select(

@@ -85,6 +85,7 @@ def shuffle_into_shards(docs: DataFrame, *, key: str = "doc_id", shards: int = S
 
 
 def op7_shuffle_shards(spark, sf_dir):
+    """shuffle_into_shards() of documents by doc_id, law key; grown_shard is the shard with one more of them. A null text has the checksum of the empty one."""
     cut = shuffle_into_shards(documents(spark, sf_dir).select("doc_id", "text"))
     checksum = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     return cut.select(

@@ -588,4 +588,5 @@ def join_shingles(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
 
 
 def op2_shingle_join(spark, sf_dir):
+    """join_shingles() of documents: a row for each row of them."""
     return join_shingles(documents(spark, sf_dir))
