@@ -63,7 +63,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with [SECRET] in place of every span found; n_chars follows the text. Null texts stay null."""
+    """All documents, with [SECRET] in place of every span found; n_chars follows the text. Null texts stay null; repeated rows are masked each."""
     found = secrets.scan(_with_row(docs), keep=(ROW,))
     text = F.col(ROW).getField("text")
     masked = _rows(found.withColumn(ROW, F.col(ROW).withField("text", secrets.redact(text, F.col("spans")))), docs)
@@ -74,13 +74,13 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice. Documents without words are never taken."""
+    """Each document as often as the mix takes it: not at all, once or twice. Documents without words are never taken; repeated rows are taken each by itself; without a column source all have the null one."""
     mixed = mixing.mix_sources(_with_row(docs), keep=ROW)
     return _rows(mixed.withColumn("__copy", F.explode("allocation")), docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document in a training window; row tells the copies of a document apart."""
+    """One row per piece of a document in a training window; row tells the copies of a document, and repeated rows, apart."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
