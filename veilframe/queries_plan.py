@@ -372,7 +372,7 @@ def pages_of_variants(spark, sf_dir):
 _FAR = f"SELECT page, 'v' || CAST(supp % 2 AS STRING) AS variant, CAST(supp % 2 AS INT) AS variant_ord, idx AS ord, 'T' || CAST(idx AS STRING) AS type, 'k' AS key, CAST(x1 % 50 AS INT) AS x1, CAST(y1 % 40 AS INT) AS y1 FROM ({BOXES}) AS f"
 
 
-@query(f"SELECT page, row_number() OVER (PARTITION BY page ORDER BY y1, x1, type, key) - 1 AS item, type, variant AS found_by FROM ({_FAR})")
+@query(f"SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY y1, x1, type, key) - 1 AS INT) AS item, type, variant AS found_by FROM ({_FAR})")
 def items_in_order(spark, sf_dir):
     """Items of one variant each, as types differ, numbered from top to bottom."""
     v = run_sql(spark, sf_dir, _FAR).withColumn("bbox", geometry.box(F.col("x1"), F.col("y1"), F.col("x1") + 100, F.col("y1") + 80)).drop("x1", "y1")
