@@ -24,6 +24,8 @@ from veilframe.llm.words import groups, lean
 WINDOW = 2048
 OPEN_WINDOWS = 32
 END_ID = 1
+#: Texts are tokenised in groups of about this many bytes, which bounds a worker's memory.
+GROUP = 1 << 18
 #: Partitions whose leftover windows are merged together.
 MERGE = 16
 PIECE = "row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -81,7 +83,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, most: int)
 
     for b in batches:
         doc_ids = b.column(0).to_pylist()
-        for first, last, texts in groups(b.column(1)):
+        for first, last, texts in groups(b.column(1), GROUP):
             ids, at = tokenizer.encode(texts)
             raw, at = memoryview(ids.astype("<u4").tobytes()), at.tolist()
             for i in range(last - first):

@@ -13,7 +13,7 @@ from veilframe.llm.words import Texts, Words
 #: Words that are remembered; beyond, the memory is begun anew.
 REMEMBERED = 600_000
 #: Words that are given to the tokenizer at once.
-TOGETHER = 20_000
+TOGETHER = 8_000
 
 
 class WordTokenizer:
