@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,33 +18,45 @@ ANSWER = T.StructType().add("items", "string").add("salvaged", "boolean").add("e
 _FENCE = re.compile(r"^```[A-Za-z]*\s*|\s*```$")
 
 
+#: What matters to where an object ends: strings, in which brackets don't count, and brackets.
+_PIECE = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]]', re.DOTALL)
+
+
+def _objects(text: str) -> Iterator[dict]:
+    """The objects that a text begins with, apart by spaces and commas, up to the first that is torn or wrong."""
+    depth, begin, end = 0, 0, 0
+    for piece in _PIECE.finditer(text):
+        if not depth:
+            if piece[0] != "{" or not re.fullmatch(r"[\s,]*", text[end : piece.start()]):
+                return
+            begin = piece.start()
+        depth += {"{": 1, "[": 1, "}": -1, "]": -1}.get(piece[0], 0)
+        if not depth:
+            end = piece.end()
+            try:
+                yield json.loads(text[begin:end])
+            except ValueError:
+                return
+
+
 def salvage(raw: str, root: str = ROOT) -> dict | None:
-    """What can be parsed of an answer that is no proper object, or None. No value is guessed."""
+    """What can be parsed of an answer that is no proper object, or None. No value is guessed.
+
+    That is the object or list behind a code fence, or else the objects at the begin: the items of all
+    that have a list of them, or, if none has, the objects as items.
+    """
     text = raw.strip()
     while (bare := _FENCE.sub("", text)) != text:
         text = bare
-    try:
-        whole = json.loads(text)
-    except ValueError:
-        whole = None
-    if isinstance(whole, dict):
-        return whole
-    if isinstance(whole, list):
-        return {root: [x for x in whole if isinstance(x, dict)]}
-    found, at, decoder = [], 0, json.JSONDecoder()
-    while True:
-        at = re.compile(r"[\s,]*").match(text, at).end()
-        if not text.startswith("{", at):
-            break
-        try:
-            value, at = decoder.raw_decode(text, at)
-        except ValueError:
-            break
-        found.append(value)
-    if not found:
-        return None
+    found: list = list(_objects(text))
+    with contextlib.suppress(ValueError):
+        if isinstance(whole := json.loads(text), dict):
+            return whole
+        found = [x for x in whole if isinstance(x, dict)] if isinstance(whole, list) else found
+        return {root: found} if isinstance(whole, list) else None
     lists = [x[root] for x in found if isinstance(x.get(root), list)]
-    return {root: [i for own in lists for i in own if isinstance(i, dict)] if lists else found}
+    items = [i for own in lists for i in own if isinstance(i, dict)] if lists else found
+    return {root: items} if found else None
 
 
 def read_answer(raw: str | None) -> tuple[str | None, bool, str | None]:
