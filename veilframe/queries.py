@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veilframe.functions import checks, geometry, jsonio, textnorm
@@ -57,10 +57,22 @@ def query(sql: str | None = None):
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = run_sql(spark, sf_dir, MOVED)
+    return with_boxes(run_sql(spark, sf_dir, MOVED))
+
+
+def with_boxes(b: DataFrame) -> DataFrame:
     return b.withColumn("bbox", geometry.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")])).withColumn("moved", geometry.box(*[F.col(c) for c in ("mx1", "my1", "mx2", "my2")]))
 
 
+def boxes_by_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """boxes() with _page, all boxes of the page (idx, bbox, text, status, norm) by idx: the table's own columns are shuffled and sorted once, by page."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*order, "l_tax", "l_returnflag").repartition("l_orderkey").sortWithinPartitions(*order)
+    b = with_boxes(run_sql(spark, sf_dir, MOVED.replace("FROM lineitem", "FROM {lines}"), lines=lines))
+    own = F.struct("idx", "bbox", F.col("txt").alias("text"), "status", F.col("txt").alias("norm"))
+    return b.withColumn("_page", F.sort_array(F.collect_list(own).over(Window.partitionBy("page"))))
+
+
 def flat(c: str, prefix: str = "") -> list:
     return [F.col(f"{c}.{s}").alias(f"{prefix}{s}") for s in ("x1", "y1", "x2", "y2")]
 
