@@ -224,7 +224,7 @@ def test_plans_have_no_cartesian_product(table):
         assert "CartesianProduct" not in said and "BroadcastNestedLoopJoin" not in said
 
 
-@pytest.mark.parametrize("name", ["region_reasons"])
+@pytest.mark.parametrize("name", ["region_reasons", "regions_assembled"])
 def test_regions_shuffle_the_table_once(spark, name):
     """Pairs of findings and boxes are many times the table, so they may not be shuffled."""
     from veilframe import catalog
