@@ -246,6 +246,18 @@ def test_regions_of_pools_are_those_of_rows(table):
     assert sorted(map(repr, localize.regions(f, b).collect())) == sorted(map(repr, localize.located(pools).collect()))
 
 
+def test_places_in_rows_are_those_of_pairs(table):
+    side = lambda i, k: (i * k) % 97
+    boxes = [(page, ord_, i, (side(page + i, 31), side(ord_ + i, 53), side(page + i, 31) + 9, side(ord_ + i, 53) + 7)) for page in range(12) for ord_ in range(5) for i in range(7)]
+    p = table(boxes, f"page int, ord int, idx int, bbox {BOX}")
+    x, y = F.col("page") * 7, F.col("ord") * 19
+    p = p.withColumn("vlm", geometry.box(x, y, x + 12, y + 10)).withColumn("crop", geometry.box(x - 20, y - 20, x + 32, y + 30))
+    own = p.groupBy("page", "ord", "vlm", "crop").agg(F.collect_list(F.struct("idx", "bbox")).alias("pool"))
+    rows = localize._with_place(own, 4, 0.5).filter("place IS NOT NULL").select("page", "ord", "place.how", "place.members")
+    want = sorted(map(tuple, localize.select_by_place(p).collect()))
+    assert sorted(map(tuple, rows.collect())) == want and {r[2] for r in want} == {"geometry", "nearby"}
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 9, 10, 11, 100])
 def test_spread_is_exact(table, n):
     from statistics import median
