@@ -15,8 +15,6 @@ from veilframe.llm.shared import documents, materialise
 ROW = "__row"
 #: Ids up to which a list of documents to drop is broadcast; beyond, both sides are shuffled.
 BROADCAST_IDS = 200_000
-#: Labelled documents of each class that the toxicity stage learns from: fewer than the operator's own number, as five stages share an executor's memory.
-TOXICITY_ROWS = 2_000
 TOKENIZER = "word_bpe_49k.json"
 ORACLE_SQL = None
 
@@ -34,8 +32,10 @@ def _rows(carried: DataFrame, docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5. Null and empty texts score without evidence and stay; rows are judged each."""
-    scored = toxicity.score_toxicity(_with_row(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"), rows_per_class=TOXICITY_ROWS, keep=ROW)
-    return _rows(scored.filter("score < 0.5"), docs)
+    scored = toxicity.score_texts(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    gone = materialise(scored.filter("score >= 0.5").select(F.col("text_hash").alias("__text")), "toxic")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return docs.withColumn("__text", toxicity.text_hash()).join(gone, "__text", "left_anti").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

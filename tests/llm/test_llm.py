@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from veilframe.llm import embedding_join, labelled, mixing, packing, pseudonyms, quality_model, quality_rules, secrets, sharding, shingle_join, tokens, toxicity, words
+from veilframe.llm import counted, embedding_join, labelled, mixing, packing, pseudonyms, quality_model, quality_rules, secrets, sharding, shingle_join, tokens, toxicity, words
 from veilframe.llm.components import connected_components
 
 DOCS = "doc_id long, text string"
@@ -382,6 +382,41 @@ def test_a_toxic_phrase_of_ordinary_words(table):
     assert len(got) > 80 and right >= 0.9 * len(got)
 
 
+@pytest.mark.parametrize("hot", [5, 1 << 19])
+def test_counts_of_whole_tables_make_the_same_models(table, monkeypatch, hot):
+    """The weights of blocks, common or looked up, against the models of one worker."""
+    import pyarrow as pa
+
+    from veilframe.llm.shared import passing
+
+    monkeypatch.setattr(counted, "HOT_KEYS", hot)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["aa", "ab", "Ba", "abba", "é", "b", "aab", "ABBA", "x" * 9]) for _ in range(rng.randint(0, 7))) for _ in range(60)]
+    y = np.array([i % 3 == 0 for i in range(60)], np.int64)
+    tried = ["aa ab ba", "abba new é", "zz aa", "", None, "b b b b", "aab ba aa ab", "é", *texts]
+    model = toxicity.KneserNey.fit(texts, y)
+    want = np.concatenate([model.ratios(g) for _, _, g in words.groups(pa.array(tried))])
+    given = table([(i, t) for i, t in [*enumerate(tried), (0, tried[0])]], "text_hash long, text string")
+    with passing():
+        got = counted.text_sums(given, table([(int(k), t) for k, t in zip(y, texts, strict=True)], "label long, text string").repartition(5), 60).collect()
+    assert sorted(r.text_hash for r in got) == list(range(len(tried)))
+    assert all(abs(want[r.text_hash][k] - r[f"x{k}"]) < 1e-6 for r in got for k in range(4))
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, table):
+    """A toxic word that stands only in rows behind the first 4,000 of their class by hash."""
+    rng = random.Random(8)
+    train = [i for i in range(12_000) if zlib.crc32(str(i).encode()) % 5]
+    place = {r.doc_id: r.place for r in table([(i,) for i in train], "doc_id long").select("doc_id", F.xxhash64(F.lit(5), "doc_id").alias("place")).collect()}
+    late = set(sorted((i for i in train if i % 2), key=place.get)[4_000:])
+    plain = lambda: " ".join(rng.choice(["the", "river", "stone", "light", "walks", "over"]) for _ in range(8))
+    rows = [(i, plain() + (" kwyjibo" if i in late else " blorkuz" if i % 2 else " ") + " " + plain()) for i in train]
+    rows += [(20_000, plain() + " kwyjibo " + plain()), (20_001, plain() + " blorkuz " + plain()), (20_002, plain()), (20_003, plain() + " hqzvfec " + plain())]
+    assert len(late) > 500
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(table(rows, DOCS), table([(i, i % 2) for i in train], "doc_id long, toxic int")).filter("doc_id >= 20000").collect()}
+    assert got[20_000] > 0.9 and got[20_001] > 0.9 and got[20_002] < 0.1 and got[20_000] > got[20_003]
+
+
 def test_quality_model(table):
     docs, labels = labelled_rows(["|", "!!", "%%%"])
     got = quality_model.score_quality(table(docs + [(9_999, None)], DOCS), table(labels, "doc_id long, toxic int, quality int")).collect()

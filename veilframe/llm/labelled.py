@@ -8,7 +8,6 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +32,14 @@ def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, fit: Callable[
         return _fitted(docs, labels, label, fit, rows_per_class, seed, characters)
 
 
-def _fitted(docs, labels, label, fit, rows_per_class, seed, characters):
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """doc_id and label, the largest of each id, outside the held-out fold; null labels and null ids are left out."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max(label).cast("long").alias("label"))
+    return known.groupBy("doc_id").agg(F.max(label).cast("long").alias("label"))
+
+
+def _fitted(docs, labels, label, fit, rows_per_class, seed, characters):
+    known = known_labels(labels, label)
     counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     drawn = None
     for c in (0, 1):
@@ -92,22 +96,17 @@ def as_texts(texts: list[str]) -> Iterator[tuple[int, int, Texts]]:
     return groups(pa.array(texts, pa.large_string()))
 
 
-def score_documents(docs: DataFrame, score: Callable[[Texts], np.ndarray], keep: str | None = None) -> DataFrame:
-    """doc_id, held_out and score of every row; score is run over groups of whole texts on the executors.
-
-    keep names a struct of the row's columns, which is passed on and whose field text is scored.
-    """
+def score_documents(docs: DataFrame, score: Callable[[Texts], np.ndarray]) -> DataFrame:
+    """doc_id, held_out and score of every row; score is run over groups of whole texts on the executors."""
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = pc.struct_field(b.column(2), "text") if keep else b.column(2)
-            parts = [score(texts) for _, _, texts in groups(text, GROUP_BYTES)]
+            parts = [score(texts) for _, _, texts in groups(b.column(2), GROUP_BYTES)]
             scores = pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
-            kept = [b.column(2)] if keep else []
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *kept, scores], ["doc_id", "held_out", *([keep] if keep else []), "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), scores], ["doc_id", "held_out", "score"])
 
     small_batches(docs.sparkSession)
-    given = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), keep or "text")
-    schema = T.StructType([f for f in given.schema if keep or f.name != "text"]).add("score", "double")
+    given = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    schema = T.StructType([f for f in given.schema if f.name != "text"]).add("score", "double")
     return given.mapInArrow(run, schema)

@@ -43,6 +43,18 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of a query go as soon as it ends, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 @contextlib.contextmanager
 def passing() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Deletes the tables that are materialised within, but for those written with what it gives: its results."""

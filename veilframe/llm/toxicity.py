@@ -10,18 +10,21 @@ word, as it is and beyond what rare words show by chance, calibrated to a probab
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.labelled import as_texts, calibrate, fit_on_sample, score_documents
-from veilframe.llm.shared import documents
-from veilframe.llm.words import BASE, Texts, Words, mix
+from veilframe.llm.labelled import as_texts, calibrate, known_labels
+from veilframe.llm.shared import documents, held_out, materialise, passing, shuffles_freed
+from veilframe.llm.words import BASE, Texts, Words, lean, mix
 
-#: At most so many labelled documents of each class are learnt from.
-ROWS_PER_CLASS = 4_000
+SEED = 5
+#: Ids or scores up to which a list of them is broadcast; beyond, both sides are shuffled.
+BROADCAST_IDS = 200_000
 DISCOUNT = 0.75
 ORDER = 5
 SHARED = 2
@@ -136,6 +139,7 @@ class KneserNey:
 
     A word is predicted from the one before it, then from how many words it follows, then from its bytes. Pairs that
     occur once are left to the shorter history. Absent n-grams, words and pairs fall back with the log-ratio of the backoff weights.
+    fit() holds all texts at once; counted.text_sums() makes the same models of whole tables.
     """
 
     grams: list[np.ndarray]
@@ -259,54 +263,71 @@ class KneserNey:
         return np.column_stack(columns)
 
 
-@dataclass
-class ToxicityModel:
-    language: KneserNey | None
-    line: np.ndarray
-
-    @classmethod
-    def fit(cls, texts: list[str], y: np.ndarray, weight: np.ndarray) -> ToxicityModel:
-        """Every fourth text calibrates; the others are counted. Without texts of both classes nothing is toxic."""
-        aside = np.arange(len(y)) % 4 == 3
-        if min(len(set(y[aside].tolist())), len(set(y[~aside].tolist()))) < 2:
-            return cls(None, np.array([0.0] * (2 + len(EVIDENCE)) + [-np.inf]))
-        language = KneserNey.fit([t for t, a in zip(texts, aside, strict=True) if not a], y[~aside])
-        kept = [t for t, a in zip(texts, aside, strict=True) if a]
-        x = np.concatenate([language.ratios(g) for _, _, g in as_texts(kept)])
-        return cls(language, calibrate(x, y[aside], weight[aside]))
-
-    def score(self, texts: Texts, known: dict | None = None) -> np.ndarray:
-        if self.language is None:
-            return np.zeros(len(texts))
-        x = self.language.ratios(texts, known) @ self.line[:-1] + self.line[-1]
-        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, rows_per_class: int = ROWS_PER_CLASS, keep: str | None = None) -> DataFrame:
+def text_hash() -> Column:
+    """What scores are kept by: equal texts score alike, null as empty ones."""
+    return F.xxhash64(F.lit(SEED), F.coalesce("text", F.lit("")))
+
+
+def _labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame | None, int]:
+    """label, aside and text of every labelled document outside the held-out fold, each id with its least text, and their number; None if a class lacks rows to count or to calibrate by."""
+    known = known_labels(labels, "toxic").withColumn("aside", F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(4)) == 3)
+    known = materialise(known, "labels")
+    known = F.broadcast(known) if known.count() <= BROADCAST_IDS else known
+    each = docs.select("doc_id").join(known, "doc_id").groupBy("doc_id", "label", "aside").count()
+    found = each.groupBy("label", "aside").agg(F.count("*").alias("n"), F.count_if(F.col("count") > 1).alias("again")).collect()
+    if len(found) < 4:
+        return None, 0
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
+    if any(r.again for r in found):
+        again = each.filter("count > 1").select("doc_id")
+        least = rows.join(again, "doc_id", "left_semi").groupBy("doc_id", "label", "aside").agg(F.min("text").alias("text"))
+        rows = rows.join(again, "doc_id", "left_anti").unionByName(least)
+    return rows.select("label", "aside", "text"), sum(r.n for r in found)
+
+
+@lean
+def _calibrated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The line of all rows of x0 to x3 and label."""
+    parts = [np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) for b in batches if len(b)]
+    if parts:
+        rows = np.concatenate(parts)
+        rows = rows[np.lexsort(rows.T)]
+        line = calibrate(rows[:, :-1], rows[:, -1], np.ones(len(rows)))
+        yield pa.RecordBatch.from_arrays([pa.array([line.tolist()], pa.list_(pa.float64()))], ["line"])
+
+
+def score_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text_hash() and score, in 0 to 1, of every distinct text of docs; see score_toxicity()."""
+    from veilframe.llm.counted import text_sums  # which is built on this module
+
+    texts = docs.select(text_hash().alias("text_hash"), "text")
+    with passing() as keep, shuffles_freed(docs.sparkSession):
+        rows, n = _labelled(docs, labels)
+        if rows is None:
+            return texts.select("text_hash", F.lit(0.0).alias("score")).distinct()
+        sums = keep(text_sums(texts, rows.filter(~F.col("aside")), n), "sums")
+        asides = rows.filter("aside").select(text_hash().alias("text_hash"), F.col("label").cast("double").alias("label"))
+        columns = [f"x{i}" for i in range(2 + len(EVIDENCE))]
+        line = asides.join(sums, "text_hash").select(*columns, "label").repartition(1).mapInArrow(_calibrated, "line array<double>").collect()[0].line
+    x = sum((F.col(c) * F.lit(w) for c, w in zip(columns, line[:-1], strict=True)), F.lit(line[-1]))
+    return sums.select("text_hash", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x))))).alias("score"))
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out and score in 0 to 1 of every row of docs; higher is likelier toxic.
 
     docs has doc_id and text, labels has doc_id and toxic. Only the text is scored: by the difference of its
     log-likelihoods in both classes per word, and, so that long texts don't drown a few plain expressions, by the means of what
-    single words exceed each EVIDENCE by; a logistic line, fitted to every fourth sampled text, weighs the three. The models are
-    learnt from at most rows_per_class labelled documents of each class outside the held-out fold
-    (crc32 of the id mod 5 = 0), and from a bounded number of characters, which bounds what is sent to the
-    executors. Null and empty texts score as texts without evidence; repeated rows score alike; without labels
-    of both classes every score is 0. Of other columns only the one named keep is passed on. An empty table
-    gives an empty result.
+    single words exceed each EVIDENCE by; a logistic line weighs them. Every labelled document outside the held-out fold
+    (crc32 of the id mod 5 = 0) is learnt from: the models count three of four, by a hash of the id, and the line is fitted
+    to the others. Null labels and null ids are left out; of repeated label rows the largest label counts, of repeated documents
+    the least text. Null and empty texts score as texts without evidence; repeated rows score alike; unless both classes are among
+    the texts counted and among the others, every score is 0. Other columns are not looked at. An empty table gives an empty result.
     """
-
-    def fit(*sample) -> tuple:
-        model = ToxicityModel.fit(*sample)
-        return vars(model.language) if model.language else None, model.line
-
-    held = docs.sparkSession.sparkContext.broadcast(fit_on_sample(docs, labels, "toxic", fit, rows_per_class))
-    known: dict = {}  # each task begins with its own copy
-
-    def score(texts: Texts) -> np.ndarray:
-        language, line = held.value
-        return ToxicityModel(KneserNey(**language) if language else None, line).score(texts, known)
-
-    return score_documents(docs, score, keep)
+    scores = score_texts(docs, labels)
+    scores = F.broadcast(scores) if scores.count() <= BROADCAST_IDS else scores
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), text_hash().alias("text_hash"))
+    return rows.join(scores, "text_hash").select("doc_id", "held_out", "score")
 
 
 def op4_toxicity(spark, sf_dir):
