@@ -195,6 +195,27 @@ def test_components(table):
     assert got == components({x for p in pairs for x in p}, [p for p in pairs if p[0] != p[1]])
 
 
+def test_few_links_take_few_stages(spark, table, monkeypatch):
+    """One task's components are those of rounds of joins, without their stages, which the driver keeps track of."""
+    from veilframe.llm import components as module
+
+    rng = random.Random(12)
+    pairs = [(rng.randint(-300, 300), rng.randint(-300, 300)) for _ in range(350)] + [(i, i + 1) for i in range(1000, 1040)] + [(2000, 2000), (None, 1), (3, None)]
+    links = table(pairs, "a long, b long")
+    whole = [p for p in pairs if None not in p]
+    want = components({x for p in whole for x in p}, whole)
+    jobs = {}
+    for most in (0, module.ONE_TASK):
+        monkeypatch.setattr(module, "ONE_TASK", most)
+        spark.sparkContext.setJobGroup(f"components{most}", "")
+        got = connected_components(links).collect()
+        jobs[most] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"components{most}"))
+        assert len(got) == len(want) and {r.node: r.component for r in got} == want
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] > 3 * jobs[most] and connected_components(table(EMPTY, "a long, b long")).count() == 0
+
+
+
 # --- 3 vectors -------------------------------------------------------------------------------------------
 
 

@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 
 from veilframe.llm.shared import materialise, passing, small_batches
 from veilframe.llm.toxicity import _BEGIN, BASE, DISCOUNT, EVIDENCE, ORDER, KneserNey, Spelling, _before, _find, _fit_spelling, _pair, _sums
-from veilframe.llm.words import Texts, Words, groups, lean, mix
+from veilframe.llm.words import Texts, Words, groups, lean, lean_table, mix
 
 #: Labelled rows for each block of the tables, and blocks at least.
 BLOCK_ROWS = 2_500
 LEAST_BLOCKS = 16
-#: Bytes of text after which a task hands on what it has counted.
-COUNT_BYTES = 8 << 20
+#: Bytes of text that a task works on at once, and after which it hands on what it has counted: a worker's memory is small.
+GROUP, COUNT_BYTES = 1 << 19, 2 << 20
 #: Weights that every task gets; the others are looked up where they lie.
 HOT_KEYS = 1 << 19
 #: Bits for each key in the filter, and in all; with fewer bits more keys are looked up in vain.
@@ -60,7 +60,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Tex
     """Groups of texts, and the numbers that come along in the first column."""
     for b in batches:
         numbers = b.column(0).to_numpy(zero_copy_only=False)
-        for first, last, texts in groups(b.column(1)):
+        for first, last, texts in groups(b.column(1), GROUP):
             yield numbers[first:last], texts
 
 
@@ -203,6 +203,7 @@ def _distinct(words: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 def _add_up(blocks: int) -> Callable[[pa.Table], pa.Table]:
     """A block's counts of all tasks, and what the words' blocks need of its pairs."""
 
+    @lean_table
     def run(table: pa.Table) -> pa.Table:
         b = table.column("block")[0].as_py()
         out = []
@@ -263,6 +264,7 @@ def _probes(key: np.ndarray, block: np.ndarray, bits: int) -> list[np.ndarray]:
 def _weigh(held, bits: int) -> Callable[[pa.Table], pa.Table]:
     """A block's weights by key, with what a text's last word takes back; its part of the filter; and how many keys are how common."""
 
+    @lean_table
     def run(table: pa.Table) -> pa.Table:
         b, spelt = table.column("block")[0].as_py(), Spelt(*held.value)
         types, sizes, data, *count = _distinct(list(_unpacked(table, "words")))
@@ -368,6 +370,7 @@ def _ask(held, blocks: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]], I
     return run
 
 
+@lean_table
 def _answer(table: pa.Table) -> pa.Table:
     """The sums that came along, and those of the weights that were asked for, by text."""
     weights = list(_unpacked(table, "weights"))
@@ -404,7 +407,7 @@ def text_sums(texts: DataFrame, counted: DataFrame, rows: int) -> DataFrame:
     """text_hash, n and x0 to x3 of each text of texts (text_hash, text): its words, and the means of KneserNey.ratios().
 
     The models are of all rows of counted (label 0 or 1, text), of which there are about so many. Equal texts,
-    which have one text_hash, give one row. To be used within passing().
+    which have one text_hash, give one row. The result is a table of materialise(). To be used within passing().
     """
     spark = texts.sparkSession
     small_batches(spark)
@@ -417,7 +420,7 @@ def text_sums(texts: DataFrame, counted: DataFrame, rows: int) -> DataFrame:
         bits = max(64, min(BITS * spelt.keys, FILTER_BITS) // blocks) // 8 * 8
         held = spark.sparkContext.broadcast(model)
         made = keep(counts.filter("kind NOT IN ('grams', 'totals')").groupBy("block").applyInArrow(_weigh(held, bits), COUNTED), "weights")
-        held.unpersist()
+        held.destroy()
     common: dict[int, int] = {}
     for _, (value, n) in _collected(made.filter("kind = 'common'")):
         for v, k in zip(value.tolist(), n.tolist(), strict=True):
@@ -438,4 +441,6 @@ def text_sums(texts: DataFrame, counted: DataFrame, rows: int) -> DataFrame:
     asked = texts.select("text_hash", "text").mapInArrow(_ask(held, blocks, bits), COUNTED)
     sums = asked.unionByName(weights).groupBy("block").applyInArrow(_answer, SUMS)
     sums = sums.groupBy("text_hash").agg(*[F.sum(c).alias(c) for c in ("n", "s0", "s1", "s2", "s3")])
-    return sums.select("text_hash", "n", *[(F.col(f"s{i}") / SCALE / F.greatest("n", F.lit(1))).alias(f"x{i}") for i in range(4)])
+    sums = materialise(sums.select("text_hash", "n", *[(F.col(f"s{i}") / SCALE / F.greatest("n", F.lit(1))).alias(f"x{i}") for i in range(4)]), "sums")
+    held.destroy()
+    return sums

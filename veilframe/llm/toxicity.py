@@ -305,12 +305,13 @@ def score_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         rows, n = _labelled(docs, labels)
         if rows is None:
             return texts.select("text_hash", F.lit(0.0).alias("score")).distinct()
-        sums = keep(text_sums(texts, rows.filter(~F.col("aside")), n), "sums")
+        sums = text_sums(texts, rows.filter(~F.col("aside")), n)
         asides = rows.filter("aside").select(text_hash().alias("text_hash"), F.col("label").cast("double").alias("label"))
         columns = [f"x{i}" for i in range(2 + len(EVIDENCE))]
         line = asides.join(sums, "text_hash").select(*columns, "label").repartition(1).mapInArrow(_calibrated, "line array<double>").collect()[0].line
-    x = sum((F.col(c) * F.lit(w) for c, w in zip(columns, line[:-1], strict=True)), F.lit(line[-1]))
-    return sums.select("text_hash", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x))))).alias("score"))
+        x = sum((F.col(c) * F.lit(w) for c, w in zip(columns, line[:-1], strict=True)), F.lit(line[-1]))
+        scores = sums.select("text_hash", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x))))).alias("score"))
+        return keep(scores, "scores")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -29,6 +29,12 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def _trim() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def lean(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
     """run, which gives memory that it freed back to the system at its ends: Python workers wait for further stages and would hold it."""
 
@@ -36,9 +42,19 @@ def lean(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
         try:
             yield from run(*given)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
-                ctypes.CDLL(None).malloc_trim(0)
+            _trim()
+
+    return trimmed
+
+
+def lean_table(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """lean() of a function of one group."""
+
+    def trimmed(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            _trim()
 
     return trimmed
 
