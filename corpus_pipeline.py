@@ -6,11 +6,14 @@ an operator passes them on, so extra columns can't clash with an operator's own.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.llm import mixing, packing, secrets, shingle_join, toxicity
-from veilframe.llm.shared import documents, materialise
+from veilframe.llm.shared import documents, give_back, materialise
 
 ROW = "__row"
 #: Ids up to which a list of documents to drop is broadcast; beyond, both sides are shuffled.
@@ -88,12 +91,23 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
+def _afresh(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """stage, before which executors give back the memory that the stages before it took: together they would take more than one does."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        give_back(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("n-gram Jaccard join", drop_near_copies),
-    ("secret scans", mask_secrets),
-    ("mixing", mix_to_weights),
-    ("packing", pack_windows),
+    ("toxicity", _afresh(drop_toxic)),
+    ("n-gram Jaccard join", _afresh(drop_near_copies)),
+    ("secret scans", _afresh(mask_secrets)),
+    ("mixing", _afresh(mix_to_weights)),
+    ("packing", _afresh(pack_windows)),
 ]
 
 

@@ -851,6 +851,24 @@ def test_pipeline_of_nothing(spark, table, tmp_path, tokenizer_path):
         assert p.pack_windows(spark, docs, str(tmp_path)).count() == kept
 
 
+def test_each_stage_begins_by_giving_memory_back(spark, monkeypatch):
+    import corpus_pipeline as p
+    from veilframe.llm.shared import give_back
+
+    spark.sparkContext.setJobGroup("give back", "")
+    give_back(spark)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("give back") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [tracker.getStageInfo(s).numTasks for s in stages] == [spark.sparkContext.defaultParallelism]
+    for name, stage in p.STAGES:
+        given = []
+        monkeypatch.setattr(p, "give_back", given.append)
+        with pytest.raises(Exception):  # noqa: B017  no documents: it ends where its own work begins
+            stage(spark, None, "/nowhere")
+        assert given == [spark], name
+
+
 # --- whole queries -------------------------------------------------------------------------------------------------------------
 
 CONTRACTS = {

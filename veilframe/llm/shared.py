@@ -55,6 +55,12 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def give_back(spark: SparkSession) -> None:
+    """Executors collect their garbage once. Their JVMs then return the heap and the direct buffers that nothing uses any more, and would hold beside what comes next."""
+    cores = spark.sparkContext.defaultParallelism  # a task for each, so that no executor that is idle is left out
+    spark.range(0, cores, 1, cores).select(F.expr("java_method('java.lang.System', 'gc')")).collect()
+
+
 @contextlib.contextmanager
 def passing() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Deletes the tables that are materialised within, but for those written with what it gives: its results."""
